@@ -86,14 +86,26 @@ def json_num(doc: str | Column, key: str) -> Column:
     return json_text(doc, key).try_cast("double")
 
 
+def json_fields(doc: str | Column, keys) -> Column:
+    """Parse a JSON document once into a struct of text fields.
+
+    One parse for many paths (``get_json_object`` parses per path).  Each
+    field holds the value's text, as ``get_json_object`` returns it; a
+    missing key or a document that is not JSON gives NULL fields.
+    """
+    schema = ", ".join(f"`{k}` string" for k in keys)
+    return F.from_json(col(doc), schema)
+
+
 def first_nonempty(*cs: str | Column) -> Column:
     """First argument that is neither NULL nor ''."""
     return F.coalesce(*[F.nullif(col(c), F.lit("")) for c in cs])
 
 
 def first_nonempty_json(doc: str | Column, *keys: str) -> Column:
-    """First non-empty of several JSON paths of the same document."""
-    return first_nonempty(*[json_text(doc, k) for k in keys])
+    """First non-empty of several JSON paths of the same document (one parse)."""
+    j = json_fields(doc, keys)
+    return first_nonempty(*[j.getField(k) for k in keys])
 
 
 def value_map(c: str | Column, mapping: Mapping, default=None) -> Column:

@@ -76,13 +76,15 @@ def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
         w_rev = (Window.partitionBy(*keys).orderBy(t.desc_nulls_last(), k.desc_nulls_last())
                  .rowsBetween(_UNB, -1))
         cols["__nm"] = F.min(F.when(match, d)).over(w_rev)
-    x = x.withColumns(cols)
-
-    summ_aggs = [F.max("__ldr").alias("__nd"),
+    # Per-bucket summary straight from the input (no sort needed): distinct
+    # timestamps (NULL counts as one value, as in DENSE_RANK), the first
+    # row's date, and the earliest matching date.
+    summ_aggs = [(F.count_distinct(t) + F.max(t.isNull().cast("int"))).alias("__nd"),
                  F.min_by(d, F.struct(t, k)).alias("__first")]
     if match is not None:
         summ_aggs.append(F.min(F.when(match, d)).alias("__bm"))
     summ = x.groupBy(*keys).agg(*summ_aggs)
+    x = x.withColumns(cols)
     sw = Window.partitionBy("__u0", "__un").orderBy("__b")
     scols = {
         "__off": F.coalesce(F.sum("__nd").over(sw.rowsBetween(_UNB, -1)), F.lit(0)),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import composite_id, json_num, scale_cents, to_money, value_map
+from ..functions.columns import composite_id, json_fields, scale_cents, to_money, value_map
 from ..operators.join import lookup
 from ..params import LedgerMartParams
 
@@ -50,6 +50,7 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
     if p.days.end_date is not None:
         s = s.where(day <= F.lit(p.days.end_date))
     gst = value_map("country", p.gst_rates, p.gst_default).cast("double")
+    s = s.withColumn("__meta", json_fields("metadata", list(_JSON)))
     raw = s.select(
         "id", "order_id", "country", "wechat_id", "company_id", "status", "commission_type",
         "record_type", "created_at", "merchant_id",
@@ -61,7 +62,7 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
         composite_id("country", "city_id").alias("C_ID"),
         gst.alias("GST_RATE"),
         *[scale_cents(c).alias(c) for c in _SCALED],
-        *[(json_num("metadata", k) / 100.0).alias(out) for k, out in _JSON.items()],
+        *[(F.col(f"__meta.{k}").try_cast("double") / 100.0).alias(out) for k, out in _JSON.items()],
     )
     x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")],
                broadcast_max_rows=p.broadcast_max_rows)

@@ -9,8 +9,8 @@ Plan outline (Exchanges in brackets):
   refund split per order                   [order_id]
   items max per order                      [order_id]; partial agg
   drink flag per merchant                  small dims, broadcast behind a row check
-  base orders left-join the three          reuse of the order_id partitioning
-  user sequence per (user, day bucket)     [user, bucket] + small summary
+  user sequence on base orders             [user, bucket] + small summary
+  left-join pivot, refunds, items          [order_id]
   day filter                               last: ranks need full history
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (MONEY_DEC, SUM_DEC, composite_id, json_num, net_of_rate,
+from ..functions.columns import (MONEY_DEC, SUM_DEC, composite_id, json_fields, net_of_rate,
                                  round_half_up, safe_ratio, scale_cents, to_money, value_map)
 from ..operators.aggregate import pivot_sum_by_type
 from ..operators.join import lookup
@@ -63,14 +63,15 @@ def gst_rate(country: str, p) -> F.Column:
 
 def settlement_pivot(settlement: DataFrame, p: OrderMartParams) -> DataFrame:
     """Ledger sums per (order, country) by record type, plus revenue parts."""
-    s = settlement.where(F.col("order_type") == F.lit(p.order_type))
+    s = (settlement.where(F.col("order_type") == F.lit(p.order_type))
+         .withColumn("__meta", json_fields("metadata", ["commission", "subsidy"])))
     rt = p.record_types
     liab = scale_cents("merchant_liability")
     rev = scale_cents("revenue")
     gst = gst_rate("country", p)
-    commission = F.coalesce((json_num("metadata", "commission") / 100.0 / gst).cast(SUM_DEC),
+    commission = F.coalesce((F.col("__meta.commission").try_cast("double") / 100.0 / gst).cast(SUM_DEC),
                             F.lit(0).cast(SUM_DEC))
-    subsidy = F.coalesce((-json_num("metadata", "subsidy") / 100.0 / gst).cast(SUM_DEC),
+    subsidy = F.coalesce((-F.col("__meta.subsidy").try_cast("double") / 100.0 / gst).cast(SUM_DEC),
                          F.lit(0).cast(SUM_DEC))
     zero = F.lit(0).cast(MONEY_DEC)
     return pivot_sum_by_type(
@@ -137,14 +138,25 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     ref = refund_split(settlement, base, tickets, p)
     per_order, drink = item_category(items, merchant_extra, categories, p)
 
+    # The user sequence depends only on the order itself (user, time, id,
+    # day, drink flag), so it runs on the narrow base rows before the ledger
+    # joins: the duplicated read inside the bucketed sequence then only
+    # re-reads orders, not the ledger.  (If the ledger pivot fans one order
+    # out over two countries, the copies share the sequence of the real next
+    # order instead of pointing at each other.)
+    x = lookup(base, drink, [("merchant_id", "x_merchant_id")],
+               broadcast_max_rows=p.broadcast_max_rows)
+    x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")
+    x = user_sequence(x, "user_id", "created_at_local_time", "order_id", "created_at_local",
+                      rank_out="order_rank", next_out="next_order_date",
+                      match=(F.col("is_drink") == F.lit(False)), match_out="next_non_drink",
+                      bucket=p.sequence_bucket)
+
     piv_on = ["order_id", "country"] if p.join_on_country else ["order_id"]
     piv_sel = piv if p.join_on_country else piv.drop("country")
-    x = (base.join(piv_sel, piv_on, "left")
+    x = (x.join(piv_sel, piv_on, "left")
          .join(ref, "order_id", "left")
          .join(per_order, "order_id", "left"))
-    x = lookup(x, drink, [("merchant_id", "x_merchant_id")],
-               broadcast_max_rows=p.broadcast_max_rows)
-    x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")
 
     tax_rate = safe_ratio("dw_tax", "dw_subtotal")
     x = x.withColumn("tax_rate", tax_rate)
@@ -172,11 +184,6 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
                                    - F.col("revenue_subsidy_order_calculated")),
     })
 
-    # user sequence: rank, next order day, next non-drink order day
-    x = user_sequence(x, "user_id", "created_at_local_time", "order_id", "created_at_local",
-                      rank_out="order_rank", next_out="next_order_date",
-                      match=(F.col("is_drink") == F.lit(False)), match_out="next_non_drink",
-                      bucket=p.sequence_bucket)
     ua = user_attr.select(F.col("user_tid"),
                           F.col("first_order_order_time").try_cast("timestamp_ntz")
                           .alias("first_delivery_ts"))

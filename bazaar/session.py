@@ -40,6 +40,11 @@ def build_session(master: str | None = None, app: str = "bazaar",
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local runs: shuffle partitions = cores already; merging them would
+        # leave cores idle in CPU-bound stages on small inputs.  (A
+        # cluster keeps its own coalescing settings.)
+        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

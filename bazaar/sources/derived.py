@@ -28,7 +28,9 @@ from .tables import Tables
 
 
 def cents(c: Column) -> Column:
-    return F.round(c * F.lit(100.0)).cast("bigint")
+    """Price -> integer cents, half up (a plain codegen expression; Spark's
+    ``round`` on doubles goes through BigDecimal per call)."""
+    return F.floor(c * F.lit(100.0) + F.lit(0.5)).cast("bigint")
 
 
 def _customer_market(t: Tables) -> DataFrame:
@@ -61,8 +63,8 @@ def group_orders(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("created_at_local"),
         sub.alias("pay_amount"), sub.alias("total"), sub.alias("subtotal"),
         (F.col("c_nationkey").cast("bigint") * 10).alias("fee"),
-        F.expr("(CAST(ROUND(o_totalprice * 100.0) AS BIGINT) * n_regionkey) div 20").alias("tax"),
-        F.when(prio == "2-HIGH", F.expr("CAST(ROUND(o_totalprice * 100.0) AS BIGINT) div 20"))
+        F.expr("(CAST(FLOOR(o_totalprice * 100.0 + 0.5) AS BIGINT) * n_regionkey) div 20").alias("tax"),
+        F.when(prio == "2-HIGH", F.expr("CAST(FLOOR(o_totalprice * 100.0 + 0.5) AS BIGINT) div 20"))
          .otherwise(F.lit(0).cast("bigint")).alias("discount"),
     )
 

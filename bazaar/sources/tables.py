@@ -12,13 +12,25 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
     """A table stored as ``{base}/{name}.parquet`` (file or folder) or, when
-    ``base`` is a catalog database, ``base.name``."""
+    ``base`` is a catalog database, ``base.name``.
+
+    ``spread``: a scan that yields fewer input partitions than the session's
+    parallelism (e.g. one small file with a single row group) is
+    round-robin repartitioned so per-row work uses every core.  Large tables
+    already split into many partitions and are left untouched.
+    """
     path = os.path.join(base, f"{name}.parquet")
     if "://" in base or os.path.exists(path):
-        return spark.read.parquet(path)
-    return spark.table(f"{base}.{name}")
+        df = spark.read.parquet(path)
+    else:
+        df = spark.table(f"{base}.{name}")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def require_columns(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
