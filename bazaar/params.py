@@ -63,6 +63,12 @@ def as_date(d) -> _dt.date | None:
     return _dt.date(int(s[:4]), int(s[4:6]), int(s[6:8]))
 
 
+def lookback_day(start, tolerance_ms: int) -> _dt.date:
+    """First day holding events up to ``tolerance_ms`` before ``start``."""
+    t0 = _dt.datetime.combine(as_date(start), _dt.time())
+    return (t0 - _dt.timedelta(milliseconds=tolerance_ms)).date()
+
+
 @dataclass(frozen=True)
 class DayRange:
     """Inclusive day range; ``None`` ends are open."""

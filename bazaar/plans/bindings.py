@@ -166,10 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _attr_read_from() -> str:
-    import datetime as dt
-
-    from ..params import as_date
-    return (as_date(ATTR_START) - dt.timedelta(milliseconds=TOLERANCE_MS)).strftime("%Y%m%d")
+    from ..params import lookback_day
+    return lookback_day(ATTR_START, TOLERANCE_MS).strftime("%Y%m%d")
 
 
 ORACLE: dict[str, str] = {

@@ -3,15 +3,13 @@ source event of the same visitor within a tolerance."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_key, first_nonempty_json
 from ..operators.asof import last_touch
 from ..operators.join import active_mapping, small_side
-from ..params import AttributionParams
+from ..params import AttributionParams, lookback_day
 
 CONTRACT = ["visituserid", "order_creation_time", "time_local", "eventvariable_orderid",
             "W_ID", "dt", "Order_Source_List", "Order_Source"]
@@ -27,7 +25,7 @@ def order_source(events: DataFrame, config: DataFrame,
         read_from = out_start
         if p.lookback:
             # sources up to one tolerance before the first output day
-            read_from = out_start - _dt.timedelta(milliseconds=p.tolerance_ms)
+            read_from = lookback_day(out_start, p.tolerance_ms)
         e = e.where(F.col("dt") >= F.lit(day_key(read_from)))
     if p.days.end is not None:
         e = e.where(F.col("dt") <= F.lit(day_key(p.days.end)))
