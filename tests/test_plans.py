@@ -1,0 +1,97 @@
+"""Plan tests: the physical plans have the shape the design promises."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import entry, oracle_sql, queries
+from bazaar.params import DayRange, LedgerMartParams
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@needs_data
+def test_no_python_in_any_registered_query(spark):
+    for name, q in queries().items():
+        p = plan(q(spark, SF))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "PythonUDF"):
+            assert node not in p, f"{name} runs Python ({node})"
+
+
+@needs_data
+def test_funnel_reads_events_once_without_expand(spark):
+    p = plan(queries()["event_funnel"](spark, SF))
+    assert "Expand" not in p
+    assert p.count("events.parquet") == 1
+
+
+@needs_data
+def test_dedupe_uses_group_limit(spark):
+    assert "WindowGroupLimit" in plan(queries()["latest_version"](spark, SF))
+
+
+@needs_data
+def test_exclusion_list_is_null_aware_broadcast(spark):
+    p = plan(queries()["scene_exclusion"](spark, SF))
+    assert "BroadcastHashJoin" in p and "isNullAwareAntiJoin=true" in p.replace(" ", "") \
+        or "NullAware" in p or "LeftAnti" in p
+
+
+@needs_data
+def test_as_of_has_no_range_join(spark):
+    p = plan(queries()["order_source"](spark, SF))
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "Window" in p
+
+
+@needs_data
+def test_column_pruning_reaches_scan(spark):
+    p = plan(queries()["user_sequence"](spark, SF))
+    # only the four order columns are read
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string," \
+           "o_orderdate:timestamp_ntz>" in spark_formatted(queries()["user_sequence"](spark, SF))
+
+
+def spark_formatted(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_ledger_day_filter_is_pushed_to_scan(spark):
+    """The ledger mart's day filter reaches a stored ledger's Parquet scan."""
+    from bazaar.plans.ledger_mart import ledger_mart
+    from tests.test_marts import SETTLEMENT, T, _ledger
+    d = tempfile.mkdtemp(prefix="bazaar-ledger-")
+    s = spark.createDataFrame([_ledger(1, 1, "PAY", 100, T(2025, 11, 20))], SETTLEMENT)
+    s.write.mode("overwrite").parquet(os.path.join(d, "s"))
+    stored = spark.read.parquet(os.path.join(d, "s"))
+    fees = spark.createDataFrame([("GBcard", "0.02")], "w_id string, cardfee string")
+    out = ledger_mart(stored, fees, LedgerMartParams(days=DayRange("2025-11-20", "2025-11-20")))
+    txt = spark_formatted(out)
+    pushed = txt.split("PushedFilters:")[1].split("\n")[0]
+    assert "EqualTo(order_type,GROUP)" in pushed
+    # the date-cast day filter becomes a timestamp range on the raw column
+    assert "GreaterThanOrEqual(created_at_local,2025-11-20T00:00)" in pushed
+    assert "LessThan(created_at_local,2025-11-21T00:00)" in pushed
+    assert out.count() == 1
+
+
+@needs_data
+def test_entry_contract(spark):
+    df = entry(spark)
+    assert df.count() > 0
+    assert len(df.columns) == 55
+    assert set(queries()) == set(oracle_sql())
+
+
+@needs_data
+def test_bounded_broadcast_of_config(spark):
+    p = plan(queries()["source_exposure"](spark, SF))
+    assert "BroadcastHashJoin" in p
