@@ -29,9 +29,16 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> Dat
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]],
            how: str = "left", matched_flag: str | None = None,
-           broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_rows: int | None = None) -> DataFrame:
     """Left (or inner) lookup of a dimension.
 
+    Strategy: with ``broadcast_max_rows=None`` (default) no hint is given;
+    AQE measures the materialized dimension at runtime and broadcasts it
+    when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+    else the join stays a shuffle join.  Pass a row bound to hint the
+    broadcast up front after a bounded count (worth it only for sides that
+    are cheap to count, such as config lists).
+
     ``on`` pairs a left column/expression with a dimension column name;
     normalise types of the keys before calling (``try_cast``), never rely
     on implicit string/number comparison.  ``matched_flag`` adds a boolean

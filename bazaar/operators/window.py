@@ -79,8 +79,11 @@ def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
     # Per-bucket summary straight from the input (no sort needed): distinct
     # timestamps (NULL counts as one value, as in DENSE_RANK), the first
     # row's date, and the earliest matching date.
+    # (``date`` does not decrease with ``ts``, so the first row's date is
+    # the bucket's smallest date; NULL ts only occur in the first bucket,
+    # which is never some other bucket's "next".)
     summ_aggs = [(F.count_distinct(t) + F.max(t.isNull().cast("int"))).alias("__nd"),
-                 F.min_by(d, F.struct(t, k)).alias("__first")]
+                 F.min(d).alias("__first")]
     if match is not None:
         summ_aggs.append(F.min(F.when(match, d)).alias("__bm"))
     summ = x.groupBy(*keys).agg(*summ_aggs)

@@ -64,8 +64,7 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
         *[scale_cents(c).alias(c) for c in _SCALED],
         *[(F.col(f"__meta.{k}").try_cast("double") / 100.0).alias(out) for k, out in _JSON.items()],
     )
-    x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")],
-               broadcast_max_rows=p.broadcast_max_rows)
+    x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")])
     x = x.withColumns({
         "revenue_card_fees": F.coalesce(-to_money("order_amount") * F.col("fee_rate"), F.lit(0.0)),
         "revenue_subsidy_order": F.when(F.col("record_type") == F.lit("PAY"), to_money("revenue"))
