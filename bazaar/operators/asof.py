@@ -23,13 +23,19 @@ from pyspark.sql import functions as F
 
 def last_touch(df: DataFrame, user: str, ms: Column, is_target: Column, is_source: Column,
                payload: Sequence[str], tolerance_ms: int | None,
-               tie_break: Sequence[Column] = (), out: str = "touch") -> DataFrame:
+               tie_break: Sequence[Column] = (), out: str = "touch",
+               bucket_ms: int | None = None) -> DataFrame:
     """Return the target rows with a struct column ``out`` = (ms, *payload)
     of the matched source, or NULL when no source is within tolerance.
 
     ``tie_break`` orders sources that share a millisecond (the last one in
     that order wins).  ``tolerance_ms=None`` means unbounded (then the
     window is one partition per user).
+
+    ``bucket_ms`` (default: the tolerance) is the width of the time buckets.
+    A narrower width spreads a visitor with a burst of events over more
+    tasks; each source is then copied into the next ceil(tolerance/width)
+    buckets, so every source within tolerance is still seen.
     """
     x = df.withColumns({
         "__ms": ms.cast("bigint"),
@@ -45,9 +51,13 @@ def last_touch(df: DataFrame, user: str, ms: Column, is_target: Column, is_sourc
     else:
         if tolerance_ms <= 0:
             raise ValueError("tolerance_ms must be positive")
-        b = F.floor(F.col("__ms") / F.lit(tolerance_ms)).cast("bigint")
-        # sources: own bucket and the next one; targets: own bucket only
-        shift = F.when(F.col("__src"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        width = bucket_ms or tolerance_ms
+        if width <= 0:
+            raise ValueError("bucket_ms must be positive")
+        copies = -(-tolerance_ms // width)       # ceil(tolerance / width)
+        b = F.floor(F.col("__ms") / F.lit(width)).cast("bigint")
+        # sources: own bucket and the next `copies` ones; targets: own bucket
+        shift = F.when(F.col("__src"), F.sequence(F.lit(0), F.lit(copies))).otherwise(F.array(F.lit(0)))
         y = (x.withColumn("__sh", F.explode(shift))
              .withColumn("__b", b + F.col("__sh")).drop("__sh"))
         w = (Window.partitionBy(user, "__b").orderBy(*order)

@@ -142,6 +142,9 @@ class AttributionParams:
     lookback: bool = True
     domain: str | None = None
     limit: int | None = None
+    # Time-bucket width of the as-of windows (None = the tolerance); a
+    # narrower width spreads bursts of one visitor over more tasks.
+    bucket_ms: int | None = None
 
 
 @dataclass(frozen=True)

@@ -48,7 +48,8 @@ def order_source(events: DataFrame, config: DataFrame,
     m = last_touch(e, "visituserid", ms, is_target=F.col("__is_order"),
                    is_source=~F.col("__is_order"), payload=["source_name", "list_name"],
                    tolerance_ms=p.tolerance_ms,
-                   tie_break=[F.col("source_name"), F.col("list_name")], out="touch")
+                   tie_break=[F.col("source_name"), F.col("list_name")], out="touch",
+                   bucket_ms=p.bucket_ms)
     src = F.col("touch.source_name")
     lst = F.col("touch.list_name")
     found = F.col("touch").isNotNull() & src.isNotNull()

@@ -73,8 +73,9 @@ def _touch_brute(data, tol):
     return res
 
 
-@pytest.mark.parametrize("tol", [3_600_000, 50, None])
-def test_last_touch_matches_brute_force(spark, tol):
+@pytest.mark.parametrize("tol,width", [(3_600_000, None), (50, None), (None, None),
+                                       (3_600_000, 1_000_000), (5_000, 997)])
+def test_last_touch_matches_brute_force(spark, tol, width):
     rnd = random.Random(11)
     data = []
     for i in range(500):
@@ -85,7 +86,7 @@ def test_last_touch_matches_brute_force(spark, tol):
                      None if tgt else rnd.choice([None, "L1", "L2"])))
     df = spark.createDataFrame(data, "u string, ms bigint, id int, tgt boolean, src string, lst string")
     out = last_touch(df, "u", F.col("ms"), F.col("tgt"), ~F.col("tgt"), ["src", "lst"], tol,
-                     tie_break=[F.col("src"), F.col("lst")])
+                     tie_break=[F.col("src"), F.col("lst")], bucket_ms=width)
     got = {r["id"]: (None if r["touch"] is None else (r["touch"]["src"], r["touch"]["lst"]))
            for r in out.collect()}
     assert got == _touch_brute(data, tol)
