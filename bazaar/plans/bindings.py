@@ -46,6 +46,9 @@ TOLERANCE_MS = 12 * 3_600_000
 ATTR_PARAMS = AttributionParams(mapping_var="evt_map", order_event="purchase",
                                 tolerance_ms=TOLERANCE_MS)
 ORDER_DAY = "1998-03-02"
+LEDGER_DAY = "1998-03-02"
+FUNNEL_DAY = "20240115"
+START_MONTH = 199901
 FUNNEL_DAYS = ("20240105", "20240112")
 ATTR_START = "20240110"
 
@@ -88,6 +91,17 @@ def q_event_funnel_days(spark: SparkSession, d: str) -> DataFrame:
     return event_funnel(dv.app_events(Tables(spark, d)), p)
 
 
+def q_event_funnel_day(spark: SparkSession, d: str) -> DataFrame:
+    p = FunnelParams(**{**FUNNEL_PARAMS.__dict__, "days": DayRange(FUNNEL_DAY, FUNNEL_DAY)})
+    return event_funnel(dv.app_events(Tables(spark, d)), p)
+
+
+def q_ledger_mart_day(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    p = LedgerMartParams(**{**LEDGER_PARAMS.__dict__, "days": DayRange(LEDGER_DAY, LEDGER_DAY)})
+    return ledger_mart(dv.settlement(t), dv.card_fees(t), p)
+
+
 def q_total_exposures(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.columns import parse_day
     e = dv.app_events(Tables(spark, d))
@@ -118,6 +132,15 @@ def q_revenue_adjustment(spark: SparkSession, d: str) -> DataFrame:
                                          F.col("revenue").try_cast("double")])
 
 
+def q_revenue_adjustment_from_month(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    return revenue_adjustment(dv.revenues(t), dv.deliverers(t), dv.areas(t), _cfg(spark),
+                              AdjustmentParams(scene_var="scene_list", area_key="m_area_id",
+                                               start_month=START_MONTH),
+                              tie_break=[F.col("summary_id"), F.col("note_type"),
+                                         F.col("revenue").try_cast("double")])
+
+
 def q_latest_version(spark: SparkSession, d: str) -> DataFrame:
     li = Tables(spark, d).lineitem
     return latest_per_key(li, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate").desc()],
@@ -153,11 +176,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_mart": q_ledger_mart,
     "event_funnel": q_event_funnel,
     "event_funnel_days": q_event_funnel_days,
+    "event_funnel_day": q_event_funnel_day,
+    "ledger_mart_day": q_ledger_mart_day,
     "total_exposures": q_total_exposures,
     "source_exposure": q_source_exposure,
     "order_source": q_order_source,
     "order_source_from_day": q_order_source_from_day,
     "revenue_adjustment": q_revenue_adjustment,
+    "revenue_adjustment_from_month": q_revenue_adjustment_from_month,
     "latest_version": q_latest_version,
     "user_sequence": q_user_sequence,
     "scene_exclusion": q_scene_exclusion,
@@ -177,11 +203,14 @@ ORACLE: dict[str, str] = {
     "ledger_mart": sql.ledger_mart_sql(),
     "event_funnel": sql.event_funnel_sql(),
     "event_funnel_days": sql.event_funnel_sql(*FUNNEL_DAYS),
+    "event_funnel_day": sql.event_funnel_sql(FUNNEL_DAY, FUNNEL_DAY),
+    "ledger_mart_day": sql.ledger_mart_sql(LEDGER_DAY),
     "total_exposures": sql.total_exposures_sql(),
     "source_exposure": sql.source_exposure_sql(),
     "order_source": sql.order_source_sql(TOLERANCE_MS),
     "order_source_from_day": sql.order_source_sql(TOLERANCE_MS, ATTR_START, _attr_read_from()),
     "revenue_adjustment": sql.revenue_adjustment_sql(),
+    "revenue_adjustment_from_month": sql.revenue_adjustment_sql(START_MONTH),
     "latest_version": sql.latest_version_sql(),
     "user_sequence": sql.user_sequence_sql(),
     "scene_exclusion": sql.scene_exclusion_sql(),
