@@ -24,7 +24,6 @@ MONEY_DEC = "decimal(22,2)"     # scaled cents, exact
 SUM_DEC = "decimal(38,6)"       # per-row terms that are not whole cents
 
 
-
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -152,6 +151,3 @@ def epoch_millis(ts: str | Column) -> Column:
             + F.minute(t).cast("bigint") * F.lit(60_000)
             + F.floor(secs * F.lit(1000)).cast("bigint"))
 
-
-def is_in(c: str | Column, values: Iterable) -> Column:
-    return col(c).isin(list(values))

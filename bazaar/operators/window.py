@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 _UNB = Window.unboundedPreceding
 
 
-def _c(x: str | Column) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    tie_break: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` (+ ``tie_break``).

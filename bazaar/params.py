@@ -98,7 +98,7 @@ class OrderMartParams:
     ticket_grain: str = "ticket"         # "ticket" (one term per ticket) | "order"
     join_on_country: bool = False        # pivot joined on (order, country) instead of order
     sequence_bucket: str | None = "day"  # window split of each user's history
-    broadcast_max_rows: int = 200_000
+    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,7 @@ class LedgerMartParams:
     gst_default: float = GST_DEFAULT
     write_off_types: tuple = WRITE_OFF_TYPES
     days: DayRange = DayRange()
-    broadcast_max_rows: int = 200_000
+    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 
 @dataclass(frozen=True)
@@ -157,4 +157,4 @@ class AdjustmentParams:
     excluded_desc_raw: str = EXCLUDED_DESC_RAW
     source_tag: str = "dw_revenues"
     limit: int | None = None
-    broadcast_max_rows: int = 200_000
+    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes

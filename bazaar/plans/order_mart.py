@@ -122,7 +122,8 @@ def item_category(items: DataFrame, merchant_extra: DataFrame, categories: DataF
     extra = merchant_extra.select(F.col("merchant_id").try_cast("bigint").alias("x_merchant_id"),
                                   "review_merchant_id")
     cats = categories.select(F.col("merchant_id").alias("c_merchant_id"), "bing_category")
-    drink = (lookup(extra, cats, [("review_merchant_id", "c_merchant_id")])
+    drink = (lookup(extra, cats, [("review_merchant_id", "c_merchant_id")],
+                    broadcast_max_rows=p.broadcast_max_rows)
              .groupBy("x_merchant_id")
              .agg(F.bool_or(F.coalesce(F.col("bing_category").startswith(p.drink_prefix),
                                        F.lit(False))).alias("m_is_drink")))
@@ -143,7 +144,8 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     # re-reads orders, not the ledger.  (If the ledger pivot fans one order
     # out over two countries, the copies share the sequence of the real next
     # order instead of pointing at each other.)
-    x = lookup(base, drink, [("merchant_id", "x_merchant_id")])
+    x = lookup(base, drink, [("merchant_id", "x_merchant_id")],
+               broadcast_max_rows=p.broadcast_max_rows)
     x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")
     x = user_sequence(x, "user_id", "created_at_local_time", "order_id", "created_at_local",
                       rank_out="order_rank", next_out="next_order_date",
@@ -185,7 +187,8 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     ua = user_attr.select(F.col("user_tid"),
                           F.col("first_order_order_time").try_cast("timestamp_ntz")
                           .alias("first_delivery_ts"))
-    x = lookup(x, ua, [("user_id", "user_tid")])
+    x = lookup(x, ua, [("user_id", "user_tid")],
+               broadcast_max_rows=p.broadcast_max_rows)
     first = F.col("order_rank") == 1
     later = F.col("first_delivery_ts") > F.col("created_at_local_time")
     x = x.withColumns({

@@ -30,10 +30,12 @@ def validated_area(revenues: DataFrame, deliverers: DataFrame, areas: DataFrame,
     a = areas.select(F.col("id").alias("a_id"), F.col("country").alias("a_country"),
                      F.col("wechat_id").alias("a_wechat_id"))
     x = lookup(revenues, d, [(F.col("deliverer_id").cast("string"), "d_id_key"),
-                             ("country", "d_country")])
+                             ("country", "d_country")],
+               broadcast_max_rows=p.broadcast_max_rows)
     x = lookup(x, a, [("d_area_key", "a_id"), ("country", "a_country"),
                       (F.col("wechat_id").try_cast("bigint"), "a_wechat_id")],
-               matched_flag="__area_hit")
+               matched_flag="__area_hit",
+               broadcast_max_rows=p.broadcast_max_rows)
     return (x.withColumn("is_area_validated",
                          F.col("deliverer_m_area_id").isNotNull() & F.col("__area_hit"))
             .drop("__area_hit", "d_area_key"))
