@@ -95,3 +95,38 @@ def test_entry_contract(spark):
 def test_bounded_broadcast_of_config(spark):
     p = plan(queries()["source_exposure"](spark, SF))
     assert "BroadcastHashJoin" in p
+
+
+def test_bucketed_sources_aggregate_and_join_without_shuffle(spark):
+    from bazaar.params import OrderMartParams
+    from bazaar.plans.order_mart import settlement_pivot
+    from bazaar.sources.sink import save_bucketed
+    from tests.test_marts import SETTLEMENT, T, _ledger
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = spark.createDataFrame([_ledger(i, i % 7, "PAY", 100, T(2025, 11, 20)) for i in range(50)],
+                                  SETTLEMENT)
+        save_bucketed(s, "bz_ledger_b", ["order_id"], 4)
+        o = spark.createDataFrame([(i,) for i in range(7)], "order_id bigint")
+        save_bucketed(o, "bz_orders_b", ["order_id"], 4)
+        piv = settlement_pivot(spark.table("bz_ledger_b"), OrderMartParams())
+        joined = spark.table("bz_orders_b").join(piv.drop("country"), "order_id", "left")
+        p = plan(joined)
+        assert "Exchange" not in p, p
+        assert joined.count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_event_day_bounds_prune_partitions(spark):
+    from bazaar.params import DayRange, FunnelParams
+    from bazaar.plans.event_funnel import event_funnel
+    from tests.test_marts import EVENTS, _ev
+    d = os.path.join(tempfile.mkdtemp(prefix="bazaar-ev-"), "events")
+    spark.createDataFrame([_ev("20251126", "DPHomepageView", "u1"),
+                           _ev("20251127", "DPHomepageView", "u2")], EVENTS) \
+        .write.partitionBy("dt").parquet(d)
+    out = event_funnel(spark.read.parquet(d), FunnelParams(domain="app", days=DayRange("20251127")))
+    txt = spark_formatted(out)
+    assert "PartitionFilters: [isnotnull(dt" in txt and "(dt#" in txt and ">= 20251127)" in txt
+    assert [r["DPHomepage_UV"] for r in out.collect()] == [1]
