@@ -56,11 +56,15 @@ def build_session(master: str | None = None, app: str = "bazaar",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job state.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) a fresh scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Only a local session
+    (tests, local runs) with no setting gets a fresh scratch folder; on a
+    cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(a machine-local folder would not survive executor loss)")
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
