@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 _UNB = Window.unboundedPreceding
 
 
+def _dense_rank_by_changes(t: Column, w_seq) -> Column:
+    """DENSE_RANK by ``t`` computed in the (t, tie) order of ``w_seq``: the
+    running count of rows whose ``t`` differs (null-safe) from the previous
+    row.  Shares the sort of the other (t, tie)-ordered windows."""
+    prev = F.lag(t, 1).over(w_seq)
+    first = F.row_number().over(w_seq) == 1
+    chg = F.when(first | ~t.eqNullSafe(prev), F.lit(1)).otherwise(F.lit(0))
+    return chg
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    tie_break: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` (+ ``tie_break``).
@@ -61,10 +71,9 @@ def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
         "__b": F.coalesce(F.date_trunc(bucket, t).cast("timestamp_ntz"),
                           F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")),
     })
-    w_rank = Window.partitionBy(*keys).orderBy(t)
     w_seq = Window.partitionBy(*keys).orderBy(t, k)
     cols = {
-        "__ldr": F.dense_rank().over(w_rank),
+        "__chg": _dense_rank_by_changes(t, w_seq),
         "__lead": F.lead(d, 1).over(w_seq),
         "__last": F.lead(F.lit(True), 1).over(w_seq).isNull(),
     }
@@ -84,6 +93,7 @@ def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
         summ_aggs.append(F.min(F.when(match, d)).alias("__bm"))
     summ = x.groupBy(*keys).agg(*summ_aggs)
     x = x.withColumns(cols)
+    x = x.withColumn("__ldr", F.sum("__chg").over(w_seq.rowsBetween(_UNB, 0))).drop("__chg")
     sw = Window.partitionBy("__u0", "__un").orderBy("__b")
     scols = {
         "__off": F.coalesce(F.sum("__nd").over(sw.rowsBetween(_UNB, -1)), F.lit(0)),
@@ -109,12 +119,15 @@ def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
 
 def _user_sequence_flat(df, user, ts, tie_break, date, rank_out, next_out, match, match_out):
     u, t, k, d = F.col(user), F.col(ts), F.col(tie_break), F.col(date)
+    w_seq = Window.partitionBy(u).orderBy(t, k)
     cols = {
-        rank_out: F.dense_rank().over(Window.partitionBy(u).orderBy(t)),
-        next_out: F.lead(d, 1).over(Window.partitionBy(u).orderBy(t, k)),
+        "__chg": _dense_rank_by_changes(t, w_seq),
+        next_out: F.lead(d, 1).over(w_seq),
     }
     if match is not None:
         w_rev = (Window.partitionBy(u).orderBy(t.desc_nulls_last(), k.desc_nulls_last())
                  .rowsBetween(_UNB, -1))
         cols[match_out] = F.min(F.when(match, d)).over(w_rev)
-    return df.withColumns(cols)
+    x = df.withColumns(cols)
+    return (x.withColumn(rank_out, F.sum("__chg").over(w_seq.rowsBetween(_UNB, 0)).cast("int"))
+            .drop("__chg"))
