@@ -98,6 +98,10 @@ class OrderMartParams:
     ticket_grain: str = "ticket"         # "ticket" (one term per ticket) | "order"
     join_on_country: bool = False        # pivot joined on (order, country) instead of order
     sequence_bucket: str | None = "day"  # window split of each user's history
+    # True: user sequence on the base orders, before the ledger and user
+    # attribute joins (cheaper).  False: after them, exactly as the literal
+    # query orders it (differs only when a join fans an order out).
+    sequence_first: bool = True
     broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 

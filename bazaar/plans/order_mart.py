@@ -139,19 +139,25 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     per_order, drink = item_category(items, merchant_extra, categories, p)
 
     # The user sequence depends only on the order itself (user, time, id,
-    # day, drink flag), so it runs on the narrow base rows before the ledger
-    # joins: the duplicated read inside the bucketed sequence then only
-    # re-reads orders, not the ledger.  (If the ledger pivot fans one order
-    # out over two countries, the copies share the sequence of the real next
-    # order instead of pointing at each other.)
+    # day, drink flag), so by default it runs on the narrow base rows before
+    # the ledger joins: the duplicated read inside the bucketed sequence then
+    # only re-reads orders, not the ledger.  (If a join fans one order out,
+    # the copies share the sequence of the real next order instead of
+    # pointing at each other; ``sequence_first=False`` keeps the literal
+    # order.)
     x = lookup(base, drink, [("merchant_id", "x_merchant_id")],
                broadcast_max_rows=p.broadcast_max_rows)
     x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")
-    x = user_sequence(x, "user_id", "created_at_local_time", "order_id", "created_at_local",
-                      rank_out="order_rank", next_out="next_order_date",
-                      match=(F.col("is_drink") == F.lit(False)), match_out="next_non_drink",
-                      bucket=p.sequence_bucket)
 
+    def sequence(df):
+        return user_sequence(df, "user_id", "created_at_local_time", "order_id",
+                             "created_at_local", rank_out="order_rank",
+                             next_out="next_order_date",
+                             match=(F.col("is_drink") == F.lit(False)),
+                             match_out="next_non_drink", bucket=p.sequence_bucket)
+
+    if p.sequence_first:
+        x = sequence(x)
     piv_on = ["order_id", "country"] if p.join_on_country else ["order_id"]
     piv_sel = piv if p.join_on_country else piv.drop("country")
     x = (x.join(piv_sel, piv_on, "left")
@@ -189,6 +195,8 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
                           .alias("first_delivery_ts"))
     x = lookup(x, ua, [("user_id", "user_tid")],
                broadcast_max_rows=p.broadcast_max_rows)
+    if not p.sequence_first:
+        x = sequence(x)
     first = F.col("order_rank") == 1
     later = F.col("first_delivery_ts") > F.col("created_at_local_time")
     x = x.withColumns({

@@ -280,3 +280,25 @@ def test_config_table_create_and_preview(spark):
     fmt = spark.sql("DESCRIBE TABLE EXTENDED bazaar_test_config").where("col_name = 'Provider'").first()
     assert fmt["data_type"].lower() == "orc"
     assert preview(t, 10, "value1").count() == 10
+
+
+@pytest.mark.parametrize("bucket", ["day", None])
+def test_order_mart_fan_out_sequence_first_vs_literal(spark, order_inputs, bucket):
+    """Order 1 has ledger rows under two countries, so the pivot join gives
+    two copies of it.  Literal order: the first copy sees the second as a
+    later non-drink order (0 days); sequence-first: both copies look past
+    themselves to order 3 (2 days)."""
+    orders, settlement, *rest = order_inputs
+    extra = spark.createDataFrame([_ledger(9, 1, "USE", -10, T(2025, 11, 20), country="AU")],
+                                  settlement.schema)
+    inputs = (orders, settlement.unionByName(extra), *rest)
+    lit = order_mart(*inputs, OrderMartParams(sequence_first=False, sequence_bucket=bucket))
+    first = order_mart(*inputs, OrderMartParams(sequence_first=True, sequence_bucket=bucket))
+    pick = lambda df: sorted(r["Days_To_Next_Non_Drink"] for r in df.where("order_id = 1").collect())
+    assert pick(lit) == [0, 2]
+    assert pick(first) == [2, 2]
+    # without fan-out both orders agree
+    same = lambda p: sorted((r["order_id"], r["order_rank"], r["next_order_date"],
+                             r["Days_To_Next_Non_Drink"]) for r in order_mart(*order_inputs, p).collect())
+    assert same(OrderMartParams(sequence_first=False, sequence_bucket=bucket)) == \
+        same(OrderMartParams(sequence_first=True, sequence_bucket=bucket))
