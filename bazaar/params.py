@@ -149,6 +149,9 @@ class AttributionParams:
     # Time-bucket width of the as-of windows (None = the tolerance); a
     # narrower width spreads bursts of one visitor over more tasks.
     bucket_ms: int | None = None
+    # True: rows without a visitor id form one visitor, as in SQL windows.
+    # False: an order without a visitor id is never attributed.
+    group_null_visitors: bool = True
 
 
 @dataclass(frozen=True)

@@ -45,8 +45,11 @@ def order_source(events: DataFrame, config: DataFrame,
         first_nonempty_json("eventvariable", "listName", "title").alias("list_name"),
     )
     ms = F.col("order_creation_time").try_cast("bigint")
+    is_source = ~F.col("__is_order")
+    if not p.group_null_visitors:
+        is_source = is_source & F.col("visituserid").isNotNull()
     m = last_touch(e, "visituserid", ms, is_target=F.col("__is_order"),
-                   is_source=~F.col("__is_order"), payload=["source_name", "list_name"],
+                   is_source=is_source, payload=["source_name", "list_name"],
                    tolerance_ms=p.tolerance_ms,
                    tie_break=[F.col("source_name"), F.col("list_name")], out="touch",
                    bucket_ms=p.bucket_ms)

@@ -302,3 +302,16 @@ def test_order_mart_fan_out_sequence_first_vs_literal(spark, order_inputs, bucke
                              r["Days_To_Next_Non_Drink"]) for r in order_mart(*order_inputs, p).collect())
     assert same(OrderMartParams(sequence_first=False, sequence_bucket=bucket)) == \
         same(OrderMartParams(sequence_first=True, sequence_bucket=bucket))
+
+
+def test_order_source_null_visitors(spark):
+    d0 = 1_764_115_200_000
+    ev = spark.createDataFrame([
+        _ev("20251126", "DPHomepageView", None, d0),
+        _ev("20251126", "DPOrderCreated", None, d0 + 10, oid="LG1"),
+    ], EVENTS)
+    cfg = config_frame(spark)
+    grouped = order_source(ev, cfg, AttributionParams()).collect()
+    apart = order_source(ev, cfg, AttributionParams(group_null_visitors=False)).collect()
+    assert [r["Order_Source"] for r in grouped] == ["老团购"]      # NULL visitors form one partition
+    assert [r["Order_Source"] for r in apart] == ["Not Found"]
