@@ -163,5 +163,8 @@ class AdjustmentParams:
     excluded_desc_folded: str = EXCLUDED_DESC_FOLDED
     excluded_desc_raw: str = EXCLUDED_DESC_RAW
     source_tag: str = "dw_revenues"
+    # Non-zero test of the measures: None = exact (x != 0); a value = |x| > eps,
+    # for doubles left with rounding noise by the chain of subtractions.
+    nonzero_epsilon: float | None = None
     limit: int | None = None
     broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes

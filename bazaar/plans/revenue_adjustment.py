@@ -67,10 +67,14 @@ def revenue_adjustment(revenues: DataFrame, deliverers: DataFrame, areas: DataFr
     })
     ue = (F.col("revenue") - F.col("fc") - F.col("td") - F.col("tr") - F.col("cd")
           - F.col("cr") - F.col("ra"))
+
+    def nonzero(c):
+        return c != 0 if p.nonzero_epsilon is None else F.abs(c) > F.lit(p.nonzero_epsilon)
+
     t = t.where((F.col("restaurant_status") >= 0) & (F.col("deliverer_status") >= 0)
                 & ~F.lower(F.col("desc_info")).contains(p.excluded_desc_folded)
                 & ~F.col("desc_info").contains(p.excluded_desc_raw)
-                & ((ue != 0) | (F.col("advertising_income") != 0) | (F.col("pr") != 0)))
+                & (nonzero(ue) | nonzero(F.col("advertising_income")) | nonzero(F.col("pr"))))
     out = t.select(
         "id", "country", "created_at_local", "pr", "updated_at", "w_id", "r_id", "DR_id",
         "desc_info", ue.alias("UE"), (-F.col("fc") - F.col("ra")).alias("B_adjustment"),

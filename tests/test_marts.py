@@ -315,3 +315,33 @@ def test_order_source_null_visitors(spark):
     apart = order_source(ev, cfg, AttributionParams(group_null_visitors=False)).collect()
     assert [r["Order_Source"] for r in grouped] == ["老团购"]      # NULL visitors form one partition
     assert [r["Order_Source"] for r in apart] == ["Not Found"]
+
+
+def test_revenue_nonzero_epsilon(spark):
+    # 0.3 - 0.1 - 0.2 is 5.55e-17 in doubles: exact test keeps it, epsilon drops it
+    rv = spark.createDataFrame([_rev("z", revenue="0.3", fc="0.1")], REVENUE) \
+        .withColumn("td", F.lit("0.2"))
+    deliverers = spark.createDataFrame([], "id bigint, country string, m_area_id bigint")
+    areas = spark.createDataFrame([], "id bigint, country string, wechat_id bigint")
+    cfg = config_frame(spark)
+    exact = revenue_adjustment(rv, deliverers, areas, cfg, AdjustmentParams())
+    eps = revenue_adjustment(rv, deliverers, areas, cfg, AdjustmentParams(nonzero_epsilon=1e-9))
+    assert exact.count() == 1 and eps.count() == 0
+
+
+def test_order_mart_join_on_country(spark, order_inputs):
+    orders, settlement, *rest = order_inputs
+    extra = spark.createDataFrame([_ledger(9, 1, "USE", -10, T(2025, 11, 20), country="AU")],
+                                  settlement.schema)
+    inputs = (orders, settlement.unionByName(extra), *rest)
+    loose = order_mart(*inputs, OrderMartParams()).where("order_id = 1").count()
+    strict = order_mart(*inputs, OrderMartParams(join_on_country=True)).where("order_id = 1")
+    assert loose == 2                                  # HZ-12 fan-out kept by default
+    assert strict.count() == 1 and strict.first()["Amount_USE"] == -5.0
+
+
+def test_exposure_approx_users(spark):
+    from bazaar.operators.aggregate import exposure_by
+    df = spark.createDataFrame([("k", f"u{i % 50}") for i in range(500)], "k string, u string")
+    r = exposure_by(df, ["k"], "u", approx=True).first()
+    assert r["exposure_times"] == 500 and abs(r["exposure_users"] - 50) <= 3
