@@ -102,6 +102,10 @@ class OrderMartParams:
     # attribute joins (cheaper).  False: after them, exactly as the literal
     # query orders it (differs only when a join fans an order out).
     sequence_first: bool = True
+    # With a day range: window only the history of users with an order in
+    # the range, and aggregate the ledger / items only for the range's
+    # orders.  Exact for the rows returned; False computes everything.
+    prune_to_range: bool = True
     broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 

@@ -130,10 +130,33 @@ def item_category(items: DataFrame, merchant_extra: DataFrame, categories: DataF
     return per_order, drink
 
 
+def _prune_to_range(base: DataFrame, settlement: DataFrame, items: DataFrame,
+                    p: OrderMartParams):
+    """Inputs reduced to what the rows of the day range depend on.
+
+    Sequence values of an order depend only on its user's orders, so the
+    windows keep the full history of users active in the range (NULL users
+    included, matched null-safe).  Ledger and item aggregates are per
+    order, so only the range's orders are needed.
+    """
+    in_range = filter_days(base, "created_at_local", p.days)
+    active = in_range.select(F.col("user_id").alias("__active_user")).distinct()
+    base = base.join(active, base["user_id"].eqNullSafe(active["__active_user"]), "left_semi")
+    range_orders = in_range.select(F.col("order_id").alias("__range_order")).distinct()
+    settlement = settlement.join(
+        range_orders, settlement["order_id"] == range_orders["__range_order"], "left_semi")
+    items = items.join(
+        range_orders, items["order_id"].try_cast("bigint") == range_orders["__range_order"],
+        "left_semi")
+    return base, settlement, items
+
+
 def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
                items: DataFrame, merchant_extra: DataFrame, categories: DataFrame,
                user_attr: DataFrame, p: OrderMartParams = OrderMartParams()) -> DataFrame:
     base = base_orders(orders, p)
+    if p.prune_to_range and (p.days.start_date is not None or p.days.end_date is not None):
+        base, settlement, items = _prune_to_range(base, settlement, items, p)
     piv = settlement_pivot(settlement, p)
     ref = refund_split(settlement, base, tickets, p)
     per_order, drink = item_category(items, merchant_extra, categories, p)

@@ -345,3 +345,12 @@ def test_exposure_approx_users(spark):
     df = spark.createDataFrame([("k", f"u{i % 50}") for i in range(500)], "k string, u string")
     r = exposure_by(df, ["k"], "u", approx=True).first()
     assert r["exposure_times"] == 500 and abs(r["exposure_users"] - 50) <= 3
+
+
+@pytest.mark.parametrize("days", [DayRange("2025-11-19", "2025-11-19"), DayRange("2025-11-21", None),
+                                  DayRange(None, "2025-11-20")])
+def test_order_mart_range_pruning_is_exact(spark, order_inputs, days):
+    pruned = order_mart(*order_inputs, OrderMartParams(days=days))
+    full = order_mart(*order_inputs, OrderMartParams(days=days, prune_to_range=False))
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(pruned) == key(full) and len(key(full)) > 0
