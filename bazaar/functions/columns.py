@@ -33,6 +33,15 @@ def scale_cents(c: str | Column) -> Column:
     return (col(c).cast("decimal(20,0)") / F.lit(Decimal(100))).cast(MONEY_DEC)
 
 
+def cents_to_money(c: str | Column) -> Column:
+    """Integer cents -> units as DOUBLE, for per-row use (no sum).
+
+    Equal to ``to_money(scale_cents(c))``: the division of an exact integer
+    by 100 is correctly rounded, i.e. the nearest double to the decimal.
+    """
+    return col(c).cast("double") / F.lit(100.0)
+
+
 def to_money(c: str | Column) -> Column:
     """Final representation of a money column in a mart contract."""
     return col(c).cast("double")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import composite_id, json_fields, scale_cents, to_money, value_map
+from ..functions.columns import cents_to_money, composite_id, json_fields, value_map
 from ..operators.join import lookup
 from ..params import LedgerMartParams
 
@@ -61,28 +61,27 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
         composite_id("country", "merchant_id").alias("M_ID"),
         composite_id("country", "city_id").alias("C_ID"),
         gst.alias("GST_RATE"),
-        *[scale_cents(c).alias(c) for c in _SCALED],
+        *[cents_to_money(c).alias(c) for c in _SCALED],
         *[(F.col(f"__meta.{k}").try_cast("double") / 100.0).alias(out) for k, out in _JSON.items()],
     )
     x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")],
                broadcast_max_rows=p.broadcast_max_rows)
     x = x.withColumns({
-        "revenue_card_fees": F.coalesce(-to_money("order_amount") * F.col("fee_rate"), F.lit(0.0)),
-        "revenue_subsidy_order": F.when(F.col("record_type") == F.lit("PAY"), to_money("revenue"))
+        "revenue_card_fees": F.coalesce(-F.col("order_amount") * F.col("fee_rate"), F.lit(0.0)),
+        "revenue_subsidy_order": F.when(F.col("record_type") == F.lit("PAY"), F.col("revenue"))
                                   .otherwise(F.lit(0.0)),
         "revenue_commission": F.col("dw_commission") / F.col("GST_RATE"),
         "revenue_subsidy_ticket": -F.col("dw_subsidy") / F.col("GST_RATE"),
         "discount": F.col("dw_discount") / F.col("GST_RATE"),
     })
     x = x.withColumns({
-        "revenue_other": (to_money("revenue") - F.col("revenue_commission")
+        "revenue_other": (F.col("revenue") - F.col("revenue_commission")
                           - F.col("revenue_subsidy_ticket") - F.col("revenue_subsidy_order")),
-        "revenue_ft": to_money("revenue") + F.col("revenue_card_fees"),
+        "revenue_ft": F.col("revenue") + F.col("revenue_card_fees"),
         "days_from_pay": F.lit(None).cast("int"),
         "has_order": F.lit(None).cast("boolean"),
         "is_write_off": F.coalesce(F.col("record_type").isin(list(p.write_off_types)), F.lit(False)),
         "orders_write_off": F.lit(0),
         "refund_type": F.lit(None).cast("string"),
     })
-    x = x.withColumns({c: to_money(c) for c in _SCALED})
     return x.select(*CONTRACT)
