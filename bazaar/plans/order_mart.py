@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (MONEY_DEC, SUM_DEC, composite_id, json_fields, net_of_rate,
-                                 round_half_up, safe_ratio, scale_cents, to_money, value_map)
+from ..functions.columns import (MONEY_DEC, SUM_DEC, cents_to_money, composite_id, json_fields,
+                                 net_of_rate, round_half_up, safe_ratio, scale_cents, to_money,
+                                 value_map)
 from ..operators.aggregate import pivot_sum_by_type
 from ..operators.join import lookup
 from ..operators.window import user_sequence
@@ -51,7 +52,7 @@ def base_orders(orders: DataFrame, p: OrderMartParams) -> DataFrame:
         "pay_type", "pay_code", "item_quantity", "user_id",
         F.to_date("created_at_local").alias("created_at_local"),
         F.col("created_at_local").alias("created_at_local_time"),
-        *[scale_cents(c).alias(f"dw_{c}") for c in _MONEY_IN],
+        *[cents_to_money(c).alias(f"dw_{c}") for c in _MONEY_IN],
         composite_id("country", "merchant_id").alias("M_ID"),
         composite_id("country", "city_id").alias("C_ID"),
     )
@@ -249,8 +250,6 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     })
     x = x.withColumn("item_left", F.col("item_quantity") - (
         F.col("item_Use") + F.col("item_No_settled") + F.col("item_Settled") + F.col("item_refund")))
-    x = x.withColumns({c: to_money(c) for c in
-                       ["dw_pay_amount", "dw_total", "dw_subtotal", "dw_fee", "dw_tax", "dw_discount"]})
     out = x.select(*CONTRACT)
     return filter_days(out, "created_at_local", p.days)
 
