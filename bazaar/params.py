@@ -126,7 +126,6 @@ class FunnelParams:
     levels: dict = field(default_factory=lambda: dict(FUNNEL_LEVELS))
     pv_names: tuple = FUNNEL_PV
     uv_names: tuple = FUNNEL_UV
-    approx_users: bool = False
 
 
 @dataclass(frozen=True)
