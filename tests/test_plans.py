@@ -130,3 +130,19 @@ def test_event_day_bounds_prune_partitions(spark):
     txt = spark_formatted(out)
     assert "PartitionFilters: [isnotnull(dt" in txt and "(dt#" in txt and ">= 20251127)" in txt
     assert [r["DPHomepage_UV"] for r in out.collect()] == [1]
+
+
+@needs_data
+def test_day_query_prunes_with_semi_joins(spark):
+    p = plan(queries()["order_mart_day"](spark, SF))
+    assert "LeftSemi" in p
+    assert "LeftSemi" not in plan(queries()["order_mart"](spark, SF))
+
+
+@needs_data
+def test_windows_are_partitioned_by_time_bucket(spark):
+    seq = plan(queries()["user_sequence"](spark, SF))
+    assert "hashpartitioning(__u0" in seq and "__b" in seq.split("hashpartitioning(__u0")[1][:80]
+    touch = plan(queries()["order_source"](spark, SF))
+    part = touch.split("windowspecdefinition(")[1][:120]
+    assert "visituserid" in part and "__b" in part
