@@ -60,17 +60,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     (tests, local runs) with no setting gets a fresh scratch folder; on a
     cluster an unset folder is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _BASE.get(sc.applicationId)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(a machine-local folder would not survive executor loss)")
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if _BASE.get(sc.applicationId) != d:
+        # spark.checkpoint.dir is a static setting; the context's folder for
+        # DataFrame.checkpoint() can still be registered at runtime.
+        sc.setCheckpointDir(d)
+        _BASE[sc.applicationId] = d
     return d
 
 
+_BASE: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (never machine-local
     on a cluster, because the base comes from the session)."""
