@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .order_minhash import op5_order_minhash
 from .suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
+    "op5_order_minhash": op5_order_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
 }
 
