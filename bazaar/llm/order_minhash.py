@@ -14,10 +14,11 @@ Classes are the connected components of the links.
 Scale: equal word sequences collapse first, so a group of exact copies is
 one vertex.  A bucket (texts with one sketch in common) is not paired up:
 every member is compared with the bucket's hub, the member whose sketches
-are the most common, and components are taken; then only members of
-different components of one bucket are compared, pair by pair.  No link
-between two classes is lost, since a pair left out is already within one
-class.  A sketch pair of similarity 0.8 shares each of 12 sketches with
+are the most common, and components are taken.  Then members of different
+components of one bucket are compared, where their lengths and the shingles
+each has to itself leave room for 0.8 (``_cross``): many loose variants of
+one text do not meet each other.  No link between two classes is lost, since
+a pair left out lies within one class or below 0.8.  A sketch pair of similarity 0.8 shares each of 12 sketches with
 probability 0.64: it is missed by all about 5 times in a million.
 
 Cases: texts of 1 to K - 1 words have no shingles and match only equal word
@@ -200,6 +201,56 @@ def _fits(n: str, m: str):
     return F.least(n, m) - (K - 1) >= SIMILARITY * (F.greatest(n, m) - (K - 1)) - 1e-9
 
 
+def _own_shingles(words: DataFrame) -> DataFrame:
+    """(row, own): how many labelled shingles of a text no other of the texts has."""
+
+    def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in C._pieces(whole, "words", PIECE):
+                lists = [np.frombuffer(x.as_py(), np.uint32) for x in batch.column("words")]
+                text = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                name, text = shingles(C.mix(np.concatenate(lists).astype(C.U64)), text)
+                rows = np.asarray(batch.column("row"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[text]), pa.array(labelled(name, text).view(np.int64))], names=["row", "name"])
+
+    return (words.mapInArrow(names, "row long, name long").groupBy("name")
+            .agg(F.count("*").alias("texts"), F.min("row").alias("row")).filter("texts = 1")
+            .groupBy("row").agg(F.count("*").alias("own")))
+
+
+BIN = float(np.log(1.02))
+
+
+def _bin(size):
+    return F.floor(F.log(size) / BIN).cast("int")
+
+
+def _cross(open_rows: DataFrame, own: DataFrame) -> DataFrame:
+    """Pairs (a < b) of one bucket and of different components that may reach
+    the similarity.  Two texts of x and y shingles share ``both`` = the lesser
+    of x - own and y - own at most, and need both >= s (x + y) / (1 + s): so
+    y <= (1 + s) / s (x - own) - x for either.  A text with many shingles of
+    its own needs a much shorter partner; partners meet by length class."""
+    s = SIMILARITY
+    size = F.col("n") - (K - 1)
+    sized = C.keep(
+        open_rows.join(own, "row", "left").select("sketch", "main", "row", "root", size.alias("x"),
+                                                  F.least(F.floor((1 + s) / s * (size - F.coalesce("own", F.lit(0)))
+                                                                  - size + 1e-6),
+                                                          F.floor(size / s + 1e-6)).alias("most"))
+        .filter(F.col("most") >= F.ceil(s * F.col("x") - 1e-6)), "sized")
+    left = sized.filter("root != main").select(
+        "sketch", F.col("row").alias("a"), F.col("root").alias("ar"), F.col("x").alias("ax"), F.col("most").alias("am"),
+        F.explode(F.sequence(_bin(F.greatest(F.ceil(s * F.col("x") - 1e-6), F.lit(1))), _bin(F.col("most")))).alias("bin"))
+    right = sized.select("sketch", "main", F.col("row").alias("b"), F.col("root").alias("br"), F.col("x").alias("bx"),
+                         F.col("most").alias("bm"), _bin(F.col("x")).alias("bin"))
+    return (left.join(right, ["sketch", "bin"])
+            .filter((F.col("ar") != F.col("br")) & ((F.col("br") == F.col("main")) | (F.col("a") < F.col("b")))
+                    & (F.col("bx") <= F.col("am")) & (F.col("ax") <= F.col("bm")))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
     """(row, root) for every row of ``df`` whose text has words: ``root`` is
     the least ``row`` value of its class of near duplicates.  ``row``: a
@@ -229,13 +280,8 @@ def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
                                                   F.count("*").alias("roots"))
                    .filter("roots > 1").select("sketch", F.col("top.root").alias("main")), "mixed")
     open_rows = C.keep(placed.join(mixed, "sketch"), "open")
-    minor = open_rows.filter("root != main").select("sketch", F.col("row").alias("a"), F.col("n").alias("an"),
-                                                    F.col("root").alias("ar"))
-    cross = (minor.join(open_rows.select("sketch", F.col("row").alias("b"), F.col("n").alias("bn"),
-                                         F.col("root").alias("br"), "main"), "sketch")
-             .filter((F.col("ar") != F.col("br")) & ((F.col("br") == F.col("main")) | (F.col("a") < F.col("b"))))
-             .filter(_fits("an", "bn")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    cross = _cross(open_rows, _own_shingles(words.join(open_rows.select("row").distinct(), "row", "left_semi"))).join(
+        tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.union(_verified(C.keep(cross, "cross"), words))
     part = C.keep(components(links), "parts")
     named = C.keep(groups.select(*key, "first").join(part.withColumnRenamed("node", "first"), "first", "left")
