@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .bpe import op10_bpe_tree
+from .mixing import op7_systematic_mix
 from .order_minhash import op5_order_minhash
+from .quality import op1_quality_classifier
 from .suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op7_systematic_mix": op7_systematic_mix,
+    "op10_bpe_tree": op10_bpe_tree,
     "op5_order_minhash": op5_order_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
 }
