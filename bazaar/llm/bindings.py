@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from .bloom_lm import op3_bloom_lm
 from .bpe import op10_bpe_tree
 from .mixing import op7_systematic_mix
 from .order_minhash import op5_order_minhash
 from .quality import op1_quality_classifier
 from .suffix_dedup import op2_suffix_dedup
+from .va_file import ORACLE as TOP_K_SQL
+from .va_file import op4_va_file
+from .vp_tree import op6_vp_tree
 
 QUERIES = {
+    "op3_bloom_lm": op3_bloom_lm,
+    "op4_va_file": op4_va_file,
+    "op6_vp_tree": op6_vp_tree,
     "op1_quality_classifier": op1_quality_classifier,
     "op7_systematic_mix": op7_systematic_mix,
     "op10_bpe_tree": op10_bpe_tree,
@@ -16,4 +23,6 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_va_file": TOP_K_SQL,
+}
