@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from .bloom_lm import op3_bloom_lm
 from .bpe import op10_bpe_tree
+from .language import op8_string_kernel
 from .mixing import op7_systematic_mix
 from .order_minhash import op5_order_minhash
 from .quality import op1_quality_classifier
 from .suffix_dedup import op2_suffix_dedup
+from .toxicity import op9_zstd_distance
 from .va_file import ORACLE as TOP_K_SQL
 from .va_file import op4_va_file
 from .vp_tree import op6_vp_tree
 
 QUERIES = {
+    "op8_string_kernel": op8_string_kernel,
+    "op9_zstd_distance": op9_zstd_distance,
     "op3_bloom_lm": op3_bloom_lm,
     "op4_va_file": op4_va_file,
     "op6_vp_tree": op6_vp_tree,
