@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 5 << 19
 SEED = 20240229
 
 
