@@ -160,7 +160,9 @@ class Roller:
         self.p, self.inv = powers(n)
         self.h = np.empty(n + 1, U64)
         self.h[0] = 0
-        np.cumsum(BYTE_CODE[data] * self.p[:n], out=self.h[1:])
+        terms = BYTE_CODE[data]
+        terms *= self.p[:n]
+        np.cumsum(terms, out=self.h[1:])
 
     def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         x = self.h[end]
