@@ -189,6 +189,7 @@ def encode(df: DataFrame, path: str, id_column: str = "doc_id", column: str = "t
                      pa.array([f[2] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string())],
                     names=[id_column, "ids", "n_tokens", "decoded"])
 
+    C.bound_batches(df.sparkSession)
     kind = df.schema[id_column].dataType.simpleString()
     return df.select(id_column, column).mapInArrow(run, f"`{id_column}` {kind}, ids array<int>, n_tokens long, decoded string")
 

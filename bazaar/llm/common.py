@@ -27,11 +27,22 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 U64 = np.uint64
-BLOCK_BYTES = 5 << 19
+BLOCK_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 SEED = 20240229
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of about ``BATCH_BYTES`` at most: a batch is held by the
+    executor and by its Python worker at once, for every running task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.match(r"\d+", spark.conf.get(key, "0"))[0])
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -39,6 +50,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: executors lost
     later do not cause recomputation of what led here."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = os.path.join(scratch_path(spark, "corpus"), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

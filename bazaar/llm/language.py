@@ -118,6 +118,7 @@ def train(df: DataFrame, column: str = "text", label: str = "lang", per_language
 
 def predict(df: DataFrame, model, id_columns: list[str], column: str = "text") -> DataFrame:
     """The ``id_columns`` of ``df`` with ``lang_pred`` and ``score``."""
+    C.bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in id_columns)
 

@@ -146,6 +146,7 @@ def train(df: DataFrame, column: str = "text", sample: int = SAMPLE) -> dict | N
                 u, n = np.unique(seen.patterns()[seen.words > 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(n, pa.int64())], names=["pattern", "n"])
 
+    C.bound_batches(df.sparkSession)
     texts = df.select(column)
     counted = texts.mapInArrow(vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     if not counted:
@@ -178,6 +179,7 @@ def train(df: DataFrame, column: str = "text", sample: int = SAMPLE) -> dict | N
 
 def score(df: DataFrame, model: dict | None, column: str = "text", name: str = "score") -> DataFrame:
     """``df`` with a column ``name``: P(good) of each whole text."""
+    C.bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model["weights"], model["bias"]) if model else (np.zeros(DIMS), 0.0))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

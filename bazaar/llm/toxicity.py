@@ -169,6 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
 
 def scores(docs: DataFrame, model, id_columns: list[str], column: str = "text") -> DataFrame:
     """The ``id_columns`` of ``docs`` with ``score`` and ``predicted``."""
+    C.bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_columns)
 
