@@ -36,8 +36,8 @@ def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of about ``BATCH_BYTES`` at most: a batch is held by the
     executor and by its Python worker at once, for every running task."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(re.match(r"\d+", spark.conf.get(key, "0"))[0])
-    if not 0 < now <= BATCH_BYTES:
+    size, unit = re.fullmatch(r"(\d+)\s*([kmg]?)b?", spark.conf.get(key).strip().lower()).groups()
+    if int(size) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
