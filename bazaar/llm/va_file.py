@@ -99,13 +99,13 @@ def op4_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-           CAST(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)
     WHERE q.vec_id % 20 = 0),
 r AS (
