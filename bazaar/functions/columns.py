@@ -147,6 +147,29 @@ def day_key(d) -> str:
     return s.replace("-", "")[:8]
 
 
+def day_between(c: str | Column, start=None, end=None) -> Column:
+    """Bounds on a raw day string in either form (``yyyyMMdd`` or
+    ``yyyy-MM-dd``), both ends included, None for open.
+
+    Each form is compared with the bound in its own form.  A dashed key sorts
+    before the plain one of the same day, so ``dt >= dashed start`` and
+    ``dt <= plain end`` hold for either form too: these plain comparisons are
+    what the scan gets pushed down.
+    """
+    d, out = col(c).cast("string"), F.lit(True)  # partition values may be read as numbers
+    dashed = F.substring(d, 5, 1) == F.lit("-")
+    if start is not None:
+        plain = day_key(start)
+        own = f"{plain[:4]}-{plain[4:6]}-{plain[6:]}"
+        out = (d >= F.lit(own)) & (dashed | (d >= F.lit(plain)))
+    if end is not None:
+        plain = day_key(end)
+        own = f"{plain[:4]}-{plain[4:6]}-{plain[6:]}"
+        upper = (d <= F.lit(plain)) & (~dashed | (d <= F.lit(own)))
+        out = upper if start is None else out & upper
+    return out
+
+
 def epoch_millis(ts: str | Column) -> Column:
     """Milliseconds since 1970-01-01 of a wall-clock timestamp.
 

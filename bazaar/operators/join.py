@@ -68,13 +68,16 @@ def not_in_list(df: DataFrame, column: str, values: DataFrame, value_col: str) -
     """``WHERE column NOT IN (SELECT value_col FROM values)`` with SQL rules.
 
     NULL in ``column`` drops the row; one NULL in the list empties the
-    result; an empty list keeps every row.  Planned by Spark as a
-    null-aware anti join (the list side is broadcast, so it must be a
-    small list such as a config list).
+    result; an empty list keeps every row.  An ordinary anti join plus two
+    counts of the list: Spark broadcasts the list below its size threshold
+    and shuffles both sides by the value above it, while a null-aware anti
+    join would broadcast a list of any size.
     """
     spark = df.sparkSession
     return spark.sql(
-        f"SELECT * FROM {{src}} WHERE `{column}` NOT IN (SELECT `{value_col}` FROM {{lst}})",
+        f"SELECT s.* FROM {{src}} s LEFT ANTI JOIN {{lst}} l ON s.`{column}` = l.`{value_col}` "
+        f"WHERE (SELECT count(*) FROM {{lst}}) = 0 OR (s.`{column}` IS NOT NULL "
+        f"AND (SELECT count_if(`{value_col}` IS NULL) FROM {{lst}}) = 0)",
         src=df, lst=values)
 
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import composite_id, day_key, first_nonempty_json, level_of, parse_day
+from ..functions.columns import composite_id, day_between, first_nonempty_json, level_of, parse_day
 from ..operators.aggregate import exposure_by, funnel
-from ..operators.join import active_mapping, small_side
+from ..operators.join import active_mapping
 from ..params import ExposureParams, FunnelParams
 
 FUNNEL_KEYS = ["time_date", "W_ID", "language"]
@@ -20,12 +20,10 @@ EXPOSURE_KEYS = ["time_date", "W_ID", "eventname", "source_name", "list_name", "
 
 
 def day_window(events: DataFrame, days, dt_col: str = "dt") -> DataFrame:
-    """Raw partition-string bounds (``yyyyMMdd``), as the source stores them."""
-    if days.start is not None:
-        events = events.where(F.col(dt_col) >= F.lit(day_key(days.start)))
-    if days.end is not None:
-        events = events.where(F.col(dt_col) <= F.lit(day_key(days.end)))
-    return events
+    """Bounds on the raw partition string, in whichever day form it is stored."""
+    if days.start is None and days.end is None:
+        return events
+    return events.where(day_between(dt_col, days.start, days.end))
 
 
 def market_id() -> F.Column:
@@ -54,7 +52,7 @@ def source_exposure(events: DataFrame, config: DataFrame,
     e = day_window(events, p.days)
     if p.domain is not None:
         e = e.where(F.col("domain") == F.lit(p.domain))
-    mapping = small_side(active_mapping(config, p.mapping_var))
+    mapping = active_mapping(config, p.mapping_var)
     e = e.join(mapping, F.col("eventname") == F.col("event_name"), "inner")
     lst = first_nonempty_json("eventvariable", "listName", "title")
     e = e.select(parse_day("dt").alias("time_date"), market_id().alias("W_ID"),

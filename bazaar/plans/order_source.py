@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_key, first_nonempty_json
+from ..functions.columns import day_between, first_nonempty_json
 from ..operators.asof import last_touch
-from ..operators.join import active_mapping, small_side
+from ..operators.join import active_mapping
 from ..params import AttributionParams, lookback_day
 
 CONTRACT = ["visituserid", "order_creation_time", "time_local", "eventvariable_orderid",
@@ -26,11 +26,11 @@ def order_source(events: DataFrame, config: DataFrame,
         if p.lookback:
             # sources up to one tolerance before the first output day
             read_from = lookback_day(out_start, p.tolerance_ms)
-        e = e.where(F.col("dt") >= F.lit(day_key(read_from)))
+        e = e.where(day_between("dt", start=read_from))
     if p.days.end is not None:
-        e = e.where(F.col("dt") <= F.lit(day_key(p.days.end)))
+        e = e.where(day_between("dt", end=p.days.end))
 
-    mapping = small_side(active_mapping(config, p.mapping_var))
+    mapping = active_mapping(config, p.mapping_var)
     is_order = (F.col("eventvariable_orderid").startswith(p.order_prefix)
                 & (F.col("eventname") == F.lit(p.order_event)))
     e = e.join(mapping, F.col("eventname") == F.col("event_name"), "left")
@@ -63,6 +63,6 @@ def order_source(events: DataFrame, config: DataFrame,
         "Order_Source": F.when(found, src).otherwise(F.lit(p.not_found)),
     })
     if out_start is not None and p.lookback:
-        m = m.where(F.col("dt") >= F.lit(day_key(out_start)))
+        m = m.where(day_between("dt", start=out_start))
     m = m.select(*CONTRACT)
-    return m.limit(p.limit) if p.limit else m
+    return m if p.limit is None else m.limit(p.limit)

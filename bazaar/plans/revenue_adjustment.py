@@ -53,9 +53,9 @@ def revenue_adjustment(revenues: DataFrame, deliverers: DataFrame, areas: DataFr
     r = validated_area(r, deliverers, areas, p)
     r = latest_per_key(r, ["id", "country"], [F.col("created_at").desc()],
                        [(F.col(c) if isinstance(c, str) else c).desc() for c in tie_break])
-    t = apply_cast_layer(r, REVENUE_CAST_LAYER)
-    t = t.withColumns({
-        "source": F.lit(p.source_tag),
+    # Ids are built from the text as stored: leading zeros stay, and text that
+    # is no number is still an id.
+    t = apply_cast_layer(r.withColumns({
         "w_id": composite_id("country", "wechat_id", null_safe=True),
         "r_id": composite_id("country", "restaurant_id", null_safe=True),
         "DR_id": F.when((F.col("restaurant_type") == F.lit("Restaurant"))
@@ -64,7 +64,7 @@ def revenue_adjustment(revenues: DataFrame, deliverers: DataFrame, areas: DataFr
                   .when(F.col("is_area_validated"),
                         composite_id("country", F.lit("A"), "deliverer_m_area_id", null_safe=True))
                   .otherwise(composite_id("country", F.lit("AW"), "wechat_id", null_safe=True)),
-    })
+    }), REVENUE_CAST_LAYER).withColumn("source", F.lit(p.source_tag))
     ue = (F.col("revenue") - F.col("fc") - F.col("td") - F.col("tr") - F.col("cd")
           - F.col("cr") - F.col("ra"))
 
@@ -81,4 +81,4 @@ def revenue_adjustment(revenues: DataFrame, deliverers: DataFrame, areas: DataFr
         (-F.col("cd") - F.col("cr") - F.col("td") - F.col("tr")).alias("D_adjusment"),
         F.col("revenue").alias("C_adjustment"), "advertising_income",
         F.col("desc_info").isin(list(p.member_descriptions)).alias("IsMember"))
-    return out.limit(p.limit) if p.limit else out
+    return out if p.limit is None else out.limit(p.limit)

@@ -37,7 +37,8 @@ def config_frame(spark: SparkSession, rows=None) -> DataFrame:
 
 def create_config_table(spark: SparkSession, table: str, rows=None, location: str | None = None,
                         fmt: str = "orc") -> DataFrame:
-    """DROP + CREATE (ORC, with column and table comments) + INSERT the rows.
+    """DROP + CREATE (ORC, with column and table comments) + INSERT OVERWRITE of the rows
+    (dropping a table with a location leaves its files: a rerun replaces them).
 
     ``location`` puts the table files in a shared folder (cluster setups);
     without it the session's warehouse is used.
@@ -47,7 +48,7 @@ def create_config_table(spark: SparkSession, table: str, rows=None, location: st
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {table} ({cols}) USING {fmt} "
               f"COMMENT 'switchable mappings and lists'{loc}")
-    config_frame(spark, rows).write.insertInto(table)
+    config_frame(spark, rows).write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 

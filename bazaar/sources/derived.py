@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_millis
-from ..operators.join import small_side
 from .tables import Tables
 
 
@@ -34,7 +33,7 @@ def cents(c: Column) -> Column:
 
 
 def _customer_market(t: Tables) -> DataFrame:
-    n = small_side(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     return (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
@@ -185,7 +184,7 @@ def app_events(t: Tables) -> DataFrame:
 
 
 def revenues(t: Tables) -> DataFrame:
-    n = small_side(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     sup = (t.supplier.select("s_suppkey", "s_nationkey")
            .join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left"))
     x = t.lineitem.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
@@ -230,7 +229,7 @@ def revenues(t: Tables) -> DataFrame:
 
 
 def deliverers(t: Tables) -> DataFrame:
-    n = small_side(t.nation.select("n_nationkey", "n_name"))
+    n = t.nation.select("n_nationkey", "n_name")
     return (t.supplier.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .select(F.col("s_suppkey").alias("id"), F.col("n_name").alias("country"),
                     F.when(F.col("s_acctbal") > 0, F.col("s_nationkey").cast("bigint"))

@@ -4,8 +4,8 @@ The event marts are defined per day (UV needs every event of the day), so
 new event files are handled by recomputing the *days they touch*:
 
   readStream (file source, new files only)
-    -> foreachBatch: distinct days of the batch (a handful of values)
-       -> re-read those whole days from the table (partition pruning)
+    -> foreachBatch: distinct days of the batch
+       -> re-read those whole days from the table (semi-join on the day)
        -> run the mart -> overwrite only those day partitions
 
 The stream's checkpoint lives in the session's shared checkpoint folder,
@@ -18,16 +18,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
 from ..sources.sink import write_by_day
 
-# At most this many distinct days per micro-batch are pulled to the driver
-# (a list of day keys, not data).
-MAX_DAYS_PER_BATCH = 10_000
-
 
 def day_mart_stream(spark: SparkSession, events_path: str, mart: Callable[[DataFrame], DataFrame],
                     out_path: str, out_day_col: str = "time_date", dt_col: str = "dt",
@@ -47,12 +42,9 @@ def day_mart_stream(spark: SparkSession, events_path: str, mart: Callable[[DataF
     stream = reader.parquet(events_path)
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        days = [r[0] for r in batch.select(dt_col).distinct().limit(MAX_DAYS_PER_BATCH + 1).collect()]
-        if not days:
+        if batch.isEmpty():
             return
-        if len(days) > MAX_DAYS_PER_BATCH:
-            raise ValueError("too many days in one micro-batch; lower maxFilesPerTrigger")
-        whole_days = spark.read.parquet(events_path).where(F.col(dt_col).isin(days))
+        whole_days = spark.read.parquet(events_path).join(batch.select(dt_col).distinct(), dt_col, "left_semi")
         write_by_day(mart(whole_days), out_path, out_day_col)
 
     w = (stream.writeStream.foreachBatch(run_batch)

@@ -252,6 +252,7 @@ def test_revenue_adjustment_rules(spark):
         _rev("h", revenue="1", fc="1"),                                # all measures 0: dropped
         _rev("i", revenue="x", fc="0", adv="3"),                       # bad number -> NULL UE
         _rev("j", month="202510"),                                     # before start month
+        _rev("k", rtype="Restaurant", rid="kiosk-7"),
     ], REVENUE)
     deliverers = spark.createDataFrame([(5, "CA", 77), (9, "GB", None)],
                                        "id bigint, country string, m_area_id bigint")
@@ -259,13 +260,14 @@ def test_revenue_adjustment_rules(spark):
     cfg = config_frame(spark)
     p = AdjustmentParams(start_month=202511, area_key="m_area_id")
     got = {(r["id"], r["country"]): r for r in revenue_adjustment(rv, deliverers, areas, cfg, p).collect()}
-    assert sorted(got) == [("a", "CA"), ("a", "GB"), ("g", "CA"), ("i", "CA")]
+    assert sorted(got) == [("a", "CA"), ("a", "GB"), ("g", "CA"), ("i", "CA"), ("k", "CA")]
     a = got[("a", "CA")]
     assert (a["C_adjustment"], a["UE"], a["B_adjustment"]) == (20.0, 19.0, -1.0)
     assert a["DR_id"] == "CAA77"                     # validated area branch
     assert got[("a", "GB")]["DR_id"] == "GBAW7"      # market fallback
     g = got[("g", "CA")]
-    assert (g["DR_id"], g["r_id"], g["IsMember"]) == ("CA42", "CA42", True)
+    assert (g["DR_id"], g["r_id"], g["IsMember"]) == ("CA0042", "CA0042", True)  # as stored
+    assert got[("k", "CA")]["DR_id"] == "CAkiosk-7"  # no number, still an id
     assert got[("i", "CA")]["UE"] is None and got[("i", "CA")]["advertising_income"] == 3.0
     assert len(revenue_adjustment(rv, deliverers, areas, cfg, p).columns) == 15
     # literal area key: deliverer id 5 is not an area id, so no validation

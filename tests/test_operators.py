@@ -199,3 +199,36 @@ def test_lookup_flag_and_bounded_broadcast(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     big = spark.range(50)
     assert "ResolvedHint" not in small_side(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
+
+
+def test_day_bounds_keep_both_day_forms(spark):
+    from bazaar.functions.columns import day_between
+    days = [f"202511{d:02d}" for d in range(25, 30)] + [f"2025-11-{d:02d}" for d in range(25, 30)] + [None, "2025"]
+    df = spark.createDataFrame([(d,) for d in days], "dt string")
+
+    def kept(start=None, end=None):
+        return sorted(r.dt for r in df.where(day_between("dt", start, end)).collect())
+    assert kept("20251127") == sorted(d for d in days if d and len(d) > 4 and d[-2:] >= "27")
+    assert kept("2025-11-27", "20251128") == ["2025-11-27", "2025-11-28", "20251127", "20251128"]
+    assert kept(end="20251126") == ["2025", "2025-11-25", "2025-11-26", "20251125", "20251126"]
+
+
+def test_config_table_rerun_replaces_rows(spark, tmp_path):
+    from bazaar.sources.config import create_config_table
+    for _ in range(2):
+        out = create_config_table(spark, "cfg_rerun", location=str(tmp_path / "cfg"))
+    assert out.count() == 14
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_not_in_list_with_and_without_broadcast(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+        lists = {"x": ([("a",)], ["b"]), "null": ([("a",), (None,)], []), "empty": ([], ["a", "b", None])}
+        for rows, want in lists.values():
+            got = [r.k for r in not_in_list(df, "k", spark.createDataFrame(rows, "v string"), "v").collect()]
+            assert sorted(got, key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

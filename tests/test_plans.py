@@ -88,7 +88,8 @@ def test_entry_contract(spark):
     df = entry(spark)
     assert df.count() > 0
     assert len(df.columns) == 55
-    assert set(queries()) == set(oracle_sql())
+    marts = {k for k in queries() if k != "pipeline" and not k.startswith("op")}
+    assert marts <= set(oracle_sql()) <= set(queries())
 
 
 @needs_data
