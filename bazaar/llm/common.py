@@ -29,6 +29,7 @@ from ..session import scratch_path
 U64 = np.uint64
 BLOCK_BYTES = 2 << 20
 BATCH_BYTES = 4 << 20
+SLICE = 1 << 16
 SEED = 20240229
 
 
@@ -177,11 +178,15 @@ class Roller:
         np.cumsum(terms, out=self.h[1:])
 
     def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        x = self.h[end]
-        x -= self.h[start]
-        x *= self.inv[start]
-        x += (end - start).astype(U64)
-        return mix(x)
+        out = np.empty(len(start), U64)
+        for i in range(0, len(start), SLICE):
+            a, b = start[i:i + SLICE], end[i:i + SLICE]
+            x = self.h[b]
+            x -= self.h[a]
+            x *= self.inv[a]
+            x += (b - a).astype(U64)
+            out[i:i + SLICE] = mix(x)
+        return out
 
 
 # ---------------------------------------------------------------- blocks

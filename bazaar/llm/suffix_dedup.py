@@ -66,18 +66,17 @@ def difference_cover(limit: int) -> tuple[int, np.ndarray]:
     return 1, np.array([0])
 
 
-def _texts(table: pa.Table, column: str) -> tuple[C.Bytes, np.ndarray]:
-    texts = C.Bytes(table.column(column))
-    return texts, np.repeat(texts.offs[:-1], texts.lens)
-
-
-def _sample(texts: C.Bytes, starts: np.ndarray, v: int, cover: np.ndarray, width: int) -> np.ndarray:
-    """Cover positions with ``width`` bytes ahead of them in their text."""
-    n = len(texts.data)
-    inside = np.zeros(v, bool)
-    inside[cover] = True
-    at = np.flatnonzero(inside[(np.arange(n) - starts) % v])
-    return at[at + width <= np.repeat(texts.offs[1:], texts.lens)[at]]
+def _sample(texts: C.Bytes, v: int, cover: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cover positions with ``width`` bytes ahead of them in their text, ascending, and their texts' starts."""
+    room = np.maximum(texts.lens - width + 1, 0)
+    periods = -(-room // v)
+    text = np.repeat(np.arange(len(texts)), periods)
+    nth = np.arange(len(text)) - (np.cumsum(periods) - periods)[text]
+    within = ((nth * v)[:, None] + cover).ravel()
+    text = np.repeat(text, len(cover))
+    fits = within < room[text]
+    starts = texts.offs[:-1][text[fits]]
+    return starts + within[fits], starts
 
 
 def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,15 +85,22 @@ def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return u, inverse, count > 1
 
 
-def _candidates(texts: C.Bytes, starts: np.ndarray, tied: np.ndarray, v: int, length: int) -> np.ndarray:
-    """Positions with ``length`` bytes ahead and a tied cover position less than v bytes on."""
-    n = len(texts.data)
+def _covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A mark for each of ``n`` positions that one of the ranges covers."""
     mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, np.maximum(tied - v + 1, starts[tied]), 1)
-    np.add.at(mark, tied + 1, -1)
-    ends = np.repeat(texts.offs[1:], texts.lens)
-    at = np.flatnonzero(np.cumsum(mark[:n]) > 0)
-    return at[at + length <= ends[at]]
+    for at, by in ((starts, 1), (ends, -1)):
+        at, times = np.unique(at, return_counts=True)
+        mark[at] += by * times.astype(np.int32)
+    return np.cumsum(mark, out=mark)[:n] > 0
+
+
+def _candidates(texts: C.Bytes, tied: np.ndarray, starts: np.ndarray, v: int, length: int) -> np.ndarray:
+    """Positions with ``length`` bytes ahead and a tied cover position
+    (``starts``: of its text) less than v bytes on."""
+    n = len(texts.data)
+    near = _covered(n, np.maximum(tied - v + 1, starts), tied + 1)
+    lo, hi = texts.offs[:-1], texts.offs[1:]
+    return np.flatnonzero(near & ~_covered(n, np.maximum(hi - length + 1, lo), hi))
 
 
 class _Plan:
@@ -106,26 +112,22 @@ class _Plan:
         self.width = length - self.v + 1
 
     def sample(self, table: pa.Table):
-        texts, starts = _texts(table, self.column)
+        texts = C.Bytes(table.column(self.column))
         roller = C.Roller(texts.data)
-        at = _sample(texts, starts, self.v, self.cover, self.width)
-        return texts, starts, roller, at, _distinct(roller.names(at, at + self.width))
+        at, starts = _sample(texts, self.v, self.cover, self.width)
+        return texts, roller, at, starts, _distinct(roller.names(at, at + self.width))
 
     def suffixes(self, table: pa.Table, ranks: list[dict]):
-        texts, starts, roller, at, (u, inverse, here) = self.sample(table)
-        tied = at[(here | C.spread(u, self.buckets, ranks))[inverse]]
-        at = _candidates(texts, starts, tied, self.v, self.length)
+        texts, roller, at, starts, (u, inverse, here) = self.sample(table)
+        tied = (here | C.spread(u, self.buckets, ranks))[inverse]
+        at = _candidates(texts, at[tied], starts[tied], self.v, self.length)
         return texts, at, _distinct(roller.names(at, at + self.length))
 
     def removed(self, table: pa.Table, ranks: list[dict], ties: list[dict]) -> tuple[C.Bytes, np.ndarray]:
         """The block's texts and a mark for each byte to remove."""
         texts, at, (u, inverse, here) = self.suffixes(table, ranks)
         at = at[(here | C.spread(u, self.buckets, ties))[inverse]]
-        n = len(texts.data)
-        mark = np.zeros(n + 1, np.int32)
-        mark[at] += 1
-        mark[at + self.length] -= 1  # distinct positions, but a start may be another's end
-        return texts, np.cumsum(mark[:n]) > 0
+        return texts, _covered(len(texts.data), at, at + self.length)
 
 
 def _removal(df: DataFrame, column: str, length: int, finish, schema: T.StructType | str) -> DataFrame:
