@@ -115,6 +115,17 @@ def q_source_exposure(spark: SparkSession, d: str) -> DataFrame:
                            ExposureParams(mapping_var="evt_map"))
 
 
+def q_source_exposure_from_day(spark: SparkSession, d: str) -> DataFrame:
+    return source_exposure(dv.app_events(Tables(spark, d)), _cfg(spark),
+                           ExposureParams(mapping_var="evt_map", domain="app", days=DayRange(ATTR_START)))
+
+
+def q_order_source_hour(spark: SparkSession, d: str) -> DataFrame:
+    """With the specified tolerance of one hour."""
+    p = AttributionParams(**{**ATTR_PARAMS.__dict__, "tolerance_ms": AttributionParams.tolerance_ms})
+    return order_source(dv.app_events(Tables(spark, d)), _cfg(spark), p)
+
+
 def q_order_source(spark: SparkSession, d: str) -> DataFrame:
     return order_source(dv.app_events(Tables(spark, d)), _cfg(spark), ATTR_PARAMS)
 
@@ -132,6 +143,15 @@ def q_revenue_adjustment(spark: SparkSession, d: str) -> DataFrame:
                                          F.col("revenue").try_cast("double")])
 
 
+def q_revenue_adjustment_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """Areas matched on the deliverer's id, as specified."""
+    t = Tables(spark, d)
+    return revenue_adjustment(dv.revenues(t), dv.deliverers(t), dv.areas(t), _cfg(spark),
+                              AdjustmentParams(scene_var="scene_list"),
+                              tie_break=[F.col("summary_id"), F.col("note_type"),
+                                         F.col("revenue").try_cast("double")])
+
+
 def q_revenue_adjustment_from_month(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     return revenue_adjustment(dv.revenues(t), dv.deliverers(t), dv.areas(t), _cfg(spark),
@@ -180,9 +200,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_mart_day": q_ledger_mart_day,
     "total_exposures": q_total_exposures,
     "source_exposure": q_source_exposure,
+    "source_exposure_from_day": q_source_exposure_from_day,
     "order_source": q_order_source,
+    "order_source_hour": q_order_source_hour,
     "order_source_from_day": q_order_source_from_day,
     "revenue_adjustment": q_revenue_adjustment,
+    "revenue_adjustment_by_id": q_revenue_adjustment_by_id,
     "revenue_adjustment_from_month": q_revenue_adjustment_from_month,
     "latest_version": q_latest_version,
     "user_sequence": q_user_sequence,
@@ -207,9 +230,12 @@ ORACLE: dict[str, str] = {
     "ledger_mart_day": sql.ledger_mart_sql(LEDGER_DAY),
     "total_exposures": sql.total_exposures_sql(),
     "source_exposure": sql.source_exposure_sql(),
+    "source_exposure_from_day": sql.source_exposure_sql(ATTR_START, "app"),
     "order_source": sql.order_source_sql(TOLERANCE_MS),
+    "order_source_hour": sql.order_source_sql(AttributionParams.tolerance_ms),
     "order_source_from_day": sql.order_source_sql(TOLERANCE_MS, ATTR_START, _attr_read_from()),
     "revenue_adjustment": sql.revenue_adjustment_sql(),
+    "revenue_adjustment_by_id": sql.revenue_adjustment_sql(area_key="id"),
     "revenue_adjustment_from_month": sql.revenue_adjustment_sql(START_MONTH),
     "latest_version": sql.latest_version_sql(),
     "user_sequence": sql.user_sequence_sql(),
