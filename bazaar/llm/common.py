@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import uuid
@@ -152,17 +153,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 _RNG = np.random.default_rng(SEED)
 BYTE_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 BASE = U64(int(_RNG.integers(1, 2**60)) * 8 + 5)
-BASE_INV = U64(pow(int(BASE), -1, 2**64))
-_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+_POWERS: list[np.ndarray] = [np.ones(1, U64)]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> np.ndarray:
     if len(_POWERS[0]) < n + 1:
-        for k, base in ((0, BASE), (1, BASE_INV)):
-            p = np.full(n + 1, base, U64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+        p = np.full(n + 1, BASE, U64)
+        p[0] = 1
+        _POWERS[0] = np.multiply.accumulate(p, out=p)
+    return _POWERS[0]
 
 
 class Roller:
@@ -170,7 +169,8 @@ class Roller:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self.p, self.inv = powers(n)
+        self.p, self.n = powers(n), n
+        self.back = U64(pow(int(BASE), -n, 2**64))
         self.h = np.empty(n + 1, U64)
         self.h[0] = 0
         terms = BYTE_CODE[data]
@@ -183,7 +183,8 @@ class Roller:
             a, b = start[i:i + SLICE], end[i:i + SLICE]
             x = self.h[b]
             x -= self.h[a]
-            x *= self.inv[a]
+            x *= self.p[self.n - a]  # with ``back``: BASE to the power -a
+            x *= self.back
             x += (b - a).astype(U64)
             out[i:i + SLICE] = mix(x)
         return out
@@ -191,6 +192,15 @@ class Roller:
 
 # ---------------------------------------------------------------- blocks
 
+def release() -> None:
+    """Give the freed memory of this Python worker back: workers are reused by
+    every later stage, and what one block needed would else stay with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; elsewhere freed memory stays
+    if trim:
+        trim(0)
+
+
 def _pieces(batch: pa.RecordBatch, column: str, target: int) -> Iterator[pa.RecordBatch]:
     lens = Bytes(batch.column(column)).lens + 64
     ends = np.cumsum(lens)
@@ -198,6 +208,7 @@ def _pieces(batch: pa.RecordBatch, column: str, target: int) -> Iterator[pa.Reco
     while lo < len(lens):
         base = ends[lo - 1] if lo else 0
         hi = max(lo + 1, int(np.searchsorted(ends, base + target, side="right")))
+        release()
         yield batch.slice(lo, hi - lo)
         lo = hi
 
@@ -234,6 +245,7 @@ def to_blocks(df: DataFrame, column: str, name: str, target: int = BLOCK_BYTES)
 
 
 def open_block(payload: bytes) -> pa.Table:
+    release()
     return pa.ipc.open_stream(payload).read_all().combine_chunks()
 
 
