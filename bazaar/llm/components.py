@@ -15,7 +15,6 @@ def _toward_min(edges: DataFrame, upper_only: bool) -> DataFrame:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     else:
         near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    near = keep(near, "near")
     low = keep(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
     linked = near.join(low, "u")
     out = linked.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if upper_only else \

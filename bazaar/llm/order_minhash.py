@@ -263,7 +263,7 @@ def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
     sizes = C.keep(sampled.groupBy("sketch").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
     members = C.keep(sampled.join(sizes, "sketch"), "members")
     typical = C.keep(members.groupBy("row").agg(F.sum("members").alias("common")), "typical")
-    ranked = C.keep(members.join(typical, "row").select("sketch", "row", "n", "common"), "ranked")
+    ranked = members.join(typical, "row").select("sketch", "row", "n", "common")
     hubs = C.keep(ranked.groupBy("sketch").agg(F.max(F.struct("common", -F.col("row"), "n")).alias("hub"))
                   .select("sketch", (-F.col("hub.col2")).alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
     tested = C.keep(members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
@@ -275,7 +275,7 @@ def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
     part = C.keep(components(links), "parts")
     placed = C.keep(members.join(part.withColumnRenamed("node", "row"), "row", "left")
                     .select("sketch", "row", "n", F.coalesce("root", "row").alias("root")), "placed")
-    per_root = C.keep(placed.groupBy("sketch", "root").agg(F.count("*").alias("size")), "bucket-roots")
+    per_root = placed.groupBy("sketch", "root").agg(F.count("*").alias("size"))
     mixed = C.keep(per_root.groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"),
                                                   F.count("*").alias("roots"))
                    .filter("roots > 1").select("sketch", F.col("top.root").alias("main")), "mixed")
