@@ -3,20 +3,19 @@
 Tokens are lower-cased words and one end a document.  Bigram counts are
 gathered over all training documents, quantised to steps of sqrt(2), and a
 bigram of level q is stored as q keys (bigram, 1) .. (bigram, q); its count is
-read back by probing level after level until one is missing.  The filter is
-broadcast: its size is ``BITS_PER_KEY`` bits a key, ``MAX_BITS`` at most (32
-MB).  Bigrams seen less than ``CUTOFF`` times are left to the unigrams; where
-the keys would not fit, the cutoff is raised to the least level that does.
+read back by probing level after level until one is missing.  Every training
+bigram is stored, also those seen once: the filter has ``BITS_PER_KEY`` bits a
+key and no largest size.  It lies in segments, one for each bucket of the name
+order, and is probed where a segment is made; it is never in one place.
 
-    P(w | h) = (q(h w) + (c(h) - k(h) + MU) * P0(w)) / (c(h) + MU)
+    P(w | h) = (q(h w) + MU * P0(w)) / (c(h) + MU)
     P0(w)    = (c(w) + 0.1) / (N + 0.1 (V + 1))
 
-q: count read from the filter, c: exact counts, k(h): how often h was
-followed by a word whose bigram the filter knows.  As q never exceeds the
-count, the sum over w stays at 1 but for false positives of the filter.
+q: count read from the filter, c: exact counts.  As q never exceeds the count,
+the sum over w is 1 at most but for false positives of the filter.
 
-Scale: documents are packed into blocks; a block asks the buckets of the word
-table once about each distinct word it holds and gets c and k back, so no
+Scale: documents are packed into blocks; a block asks the buckets once about
+each distinct word and bigram it holds and gets c and the level back, so no
 word, however frequent, costs a bucket more than one entry a block.
 
 Cases: a null or empty text is one end token; documents with a null id count
@@ -36,9 +35,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 BITS_PER_KEY = 12
-MAX_BITS = 1 << 28
 HASHES = 4
-CUTOFF = 2
 STEP = 2 ** 0.5
 MU = 4.0
 ALPHA = 0.1
@@ -89,7 +86,12 @@ def _totals(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray,
 
 
 def levels(count: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(count / CUTOFF) / np.log(STEP) + 1e-9).astype(np.int64)
+    return 1 + np.floor(np.log(count) / np.log(STEP) + 1e-9).astype(np.int64)
+
+
+def quantised(level: np.ndarray) -> np.ndarray:
+    """The count that each level stands for, 0 for level 0."""
+    return np.where(level > 0, np.floor(STEP ** (level - 1.0) + 1e-6), 0.0)
 
 
 def _place(names: np.ndarray, level: int, i: int, bits: int) -> np.ndarray:
@@ -116,8 +118,8 @@ class LogBloom:
                 table[_place(names[level >= j], j, i, bits)] = True
         return np.packbits(table, bitorder="little").tobytes()
 
-    def counts(self, names: np.ndarray) -> np.ndarray:
-        """The quantised count of each name, 0 if unknown, by repeated probes."""
+    def levels(self, names: np.ndarray) -> np.ndarray:
+        """The level of each name, 0 if unknown, by repeated probes."""
         base = (np.searchsorted(self.edges, names, side="right") - 1) * self.bits
         level = np.zeros(len(names), np.int64)
         alive = np.arange(len(names))
@@ -128,59 +130,48 @@ class LogBloom:
                 alive = alive[(self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             level[alive] = j
             j += 1
-        return np.where(level > 0, np.floor(CUTOFF * STEP ** (level - 1.0) + 1e-6), 0.0)
+        return level
+
+    def counts(self, names: np.ndarray) -> np.ndarray:
+        """The quantised count of each name, 0 if unknown."""
+        return quantised(self.levels(names))
 
 
-def build_filter(blocks: DataFrame, buckets: int, max_bits: int = MAX_BITS) -> LogBloom:
+def bigram_levels(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, reply): the filter's level of each distinct bigram of a
+    block, a byte each in the order of their names."""
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column("block"), batch.column("batch")):
                 table = C.open_block(payload.as_py())
                 names, doc, before = _tokens(table)
                 train = ~np.asarray(table.column("held_out"))[doc]
-                u, n = np.unique(_pairs(before[train], names[train]), return_counts=True)
+                u, inverse = np.unique(_pairs(before, names), return_inverse=True)
+                n = np.bincount(inverse[train], minlength=len(u))
                 yield C.send(block.as_py(), u, buckets, n.astype(np.uint32))
 
-    def frequent(table: pa.Table) -> pa.Table:
-        _, names, total = _totals(table, 1)
-        names, total = names[total[:, 0] >= CUTOFF], total[total[:, 0] >= CUTOFF, 0]
-        level = levels(total)
-        have, n = np.unique(level, return_counts=True)
-        return pa.table({"bucket": table.column("bucket").slice(0, 1), "names": [C.pack_sorted(names)],
-                         "levels": [level.astype(np.uint8).tobytes()],
-                         "sizes": pa.array([list(zip(have.tolist(), n.tolist()))], pa.map_(pa.int32(), pa.int64()))})
-
-    known = C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), frequent,
-                              "bucket int, names binary, levels binary, sizes map<int,bigint>"), "bigrams")
-    sizes = {r.level: r.n for r in known.select(F.explode("sizes").alias("level", "n")).groupBy("level")
-             .agg(F.sum("n").alias("n")).collect()}
-    least = 1
-    while (keys := sum(level * n for level, n in sizes.items() if level >= least)) * BITS_PER_KEY > max_bits:
-        least += 1
-    bits = max(64, -(-keys * BITS_PER_KEY // buckets // 64) * 64)
-
-    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for names, level in zip(batch.column("names"), batch.column("levels")):
-                x, q = C.unpack_sorted(names.as_py()), np.frombuffer(level.as_py(), np.uint8).astype(np.int64)
-                out.append(LogBloom.segment(x[q >= least], q[q >= least], bits))
-            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(out, pa.binary())],
-                                             names=["bucket", "bits"])
+    def probe(table: pa.Table) -> pa.Table:
+        lists, names, total = _totals(table, 1)
+        trained = total[:, 0] > 0
+        level = levels(total[trained, 0])
+        bits = max(64, -(-int(level.sum()) * BITS_PER_KEY // 64) * 64)
+        segment = LogBloom({0: LogBloom.segment(names[trained], level, bits)}, 1, bits)
+        found = segment.levels(names).astype(np.uint8)
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
+                         "reply": pa.array([found[np.searchsorted(names, x)].tobytes() for x in lists], pa.binary())})
 
-    rows = known.select("bucket", "names", "levels").mapInArrow(fill, "bucket int, bits binary").collect()
-    return LogBloom({r.bucket: bytes(r.bits) for r in rows}, buckets, bits)
+    return C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), probe, C.SHARED), "bigrams")
 
 
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def lm_scores(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def lm_scores(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, held_out): log10 probabilities of its text."""
     spark = docs.sparkSession
     blocks = C.to_blocks(docs.select("doc_id", "text", "held_out"), "text", "lm-blocks")
     buckets = C.bucket_count(spark, blocks, 0.5)
-    shared = spark.sparkContext.broadcast(build_filter(blocks, buckets, max_bits))
+    bigrams = bigram_levels(blocks, buckets)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,14 +181,11 @@ def lm_scores(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 train = ~np.asarray(table.column("held_out"))[doc]
                 u, inverse = np.unique(np.append(names, START), return_inverse=True)
                 count = np.bincount(inverse[:-1][train], minlength=len(u))
-                followed = train & (shared.value.counts(_pairs(before, names)) > 0)
-                kept = np.bincount(np.searchsorted(u, before[followed]), minlength=len(u))
-                count[np.searchsorted(u, START)] = 0  # contexts only: counted by the ends
-                yield C.send(block.as_py(), u, buckets, np.stack([count, kept], 1).astype(np.uint32))
+                yield C.send(block.as_py(), u, buckets, count.astype(np.uint32))
 
     def answer(table: pa.Table) -> pa.Table:
-        lists, names, total = _totals(table, 2)
-        out = [_planes(total[np.searchsorted(names, x)].ravel()) for x in lists]
+        lists, names, total = _totals(table, 1)
+        out = [_planes(total[np.searchsorted(names, x), 0]) for x in lists]
         new = np.zeros((2, len(out)), np.int64)
         new[:, 0] = (total[:, 0] > 0).sum(), total[:, 0].sum()
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(out, pa.binary()),
@@ -208,20 +196,20 @@ def lm_scores(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for payload, replies in zip(batch.column("batch"), batch.column("counts")):
+            for payload, replies, known in zip(batch.column("batch"), batch.column("counts"), batch.column("levels")):
                 table = C.open_block(payload.as_py())
                 names, doc, before = _tokens(table)
                 u, inverse = np.unique(np.append(names, START), return_inverse=True)
-                e, got = C.bucket_edges(u, buckets), np.zeros((len(u), 2), np.int64)
+                e, got = C.bucket_edges(u, buckets), np.zeros(len(u), np.int64)
                 for r in replies.as_py() or []:
-                    got[e[r["bucket"]]:e[r["bucket"] + 1]] = _unplanes(r["reply"]).reshape(-1, 2)
-                c, k = got[inverse[:-1], 0], got[np.searchsorted(u, before), 1]
-                place = np.searchsorted(u, before)
-                starts = got[np.searchsorted(u, END), 0]  # as many beginnings as ends
-                ch = np.where(before == START, starts, got[place, 0])
+                    got[e[r["bucket"]]:e[r["bucket"] + 1]] = _unplanes(r["reply"])
+                c, place = got[inverse[:-1]], np.searchsorted(u, before)
+                starts = got[np.searchsorted(u, END)]  # as many beginnings as ends
+                ch = np.where(before == START, starts, got[place])
                 p0 = (c + ALPHA) / (n + ALPHA * (v + 1))
-                q = shared.value.counts(_pairs(before, names))
-                p = (q + np.maximum(ch - k + MU, 0) * p0) / (ch + MU)
+                pairs, inverse = np.unique(_pairs(before, names), return_inverse=True)
+                q = quantised(C.spread(pairs, buckets, known.as_py(), "u1").astype(np.int64))[inverse]
+                p = (q + MU * p0) / (ch + MU)
                 m = table.num_rows
                 total = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m))
                 whole = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m).astype(np.int64))
@@ -231,8 +219,9 @@ def lm_scores(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                      total(np.log10(p0)), total(np.log10(np.minimum(p, 1.0)))],
                     names=[f.split()[0] for f in SCORED.split(", ")])
 
-    return blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left").select(
-        "batch", "counts").mapInArrow(score, SCORED)
+    words = C.per_block(answers.select("block", "bucket", "reply"), "counts")
+    return (blocks.join(words, "block", "left").join(C.per_block(bigrams, "levels"), "block", "left")
+            .select("batch", "counts", "levels").mapInArrow(score, SCORED))
 
 
 def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

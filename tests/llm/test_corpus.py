@@ -207,6 +207,27 @@ def test_filter_counts_never_exceed_and_edges(spark, edge):
     assert bloom_lm.lm_scores(docs).count() == len(ROWS) and bloom_lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def test_lm_uses_every_training_bigram(spark):
+    """Counts of 1 and more, each bigram a token would otherwise leave to the unigrams."""
+    texts = ["the cat sat", "the dog ran off", "the dog ran home", *["red fox"] * 5, *["blue owl"] * 9]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)] + [(100, "the cat ran home", True)],
+                                 "doc_id long, text string, held_out boolean")
+    pairs, c = Counter(), Counter()
+    for t in texts:
+        x = ["<s>", *t.split(), 0]
+        c.update(x)
+        pairs.update(zip(x, x[1:]))
+    v, n = len(c) - 1, sum(c.values()) - c["<s>"]
+    quant = lambda k: math.floor(2 ** (math.floor(2 * math.log2(k) + 1e-9) / 2) + 1e-6) if k else 0
+    got = {r.doc_id: r.score for r in bloom_lm.lm_scores(docs).collect()}
+    for d, t in [*enumerate(texts), (100, "the cat ran home")]:
+        x, want = ["<s>", *t.split(), 0], 0.0
+        for h, w in zip(x, x[1:]):
+            p0 = (c[w] + bloom_lm.ALPHA) / (n + bloom_lm.ALPHA * (v + 1))
+            want += math.log10((quant(pairs[h, w]) + bloom_lm.MU * p0) / (c[h] + bloom_lm.MU))
+        assert got[d] == pytest.approx(want, rel=1e-9)
+
+
 # ------------------------------------------------------------------ op4, op6
 
 def embeddings(spark):
