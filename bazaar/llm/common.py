@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -190,6 +190,30 @@ class Roller:
         return out
 
 
+def distinct_sample(df: DataFrame, column: str, each: int, label: str | None = None) -> DataFrame:
+    """``column`` (and ``label``) of ``each`` different texts at most, for each
+    label if given: those of the least hashes.  Copies of a text count once."""
+    by, hashed = [label] if label else [], free_name(df, "hash")
+    keyed = df.select(column, *by).withColumn(hashed, F.xxhash64(column))
+
+    def below(most: dict) -> Column:
+        if not label:
+            return F.col(hashed) <= F.lit(most[None]).cast("long")
+        pairs = [x for k, v in sorted(most.items()) for x in (F.lit(k), F.lit(v).cast("long"))]
+        return F.col(hashed) <= F.create_map(*pairs)[F.col(label)]
+
+    # about 2 * each hashes of a label go to the driver, which finds the bound from them
+    most = {r[label] if label else None: min((1 << 63) - 1, int(2 * each / max(1, r["n"]) * 2.0 ** 64) - (1 << 63))
+            for r in keyed.groupBy(*by).agg(F.approx_count_distinct(hashed).alias("n")).collect()}
+    if not most:
+        return keyed.drop(hashed)
+    seen: dict = {k: [] for k in most}
+    for r in keyed.filter(below(most)).select(*by, hashed).distinct().collect():
+        seen[r[label] if label else None].append(r[hashed])
+    bound = {k: sorted(x)[:each][-1] if x else most[k] for k, x in seen.items()}
+    return keyed.filter(below(bound)).dropDuplicates([*by, hashed]).drop(hashed)
+
+
 # ---------------------------------------------------------------- blocks
 
 def release() -> None:

@@ -10,8 +10,8 @@ batch of windows is scored by one matrix product.  A text is scored in windows
 of ``WINDOW`` bytes over its whole length; the windows' scores are averaged
 by their number of letters.
 
-Training rows are a bounded sample: ``PER_LANGUAGE`` documents of each
-language, picked by hash, two windows of each.
+Training rows are a bounded sample: ``PER_LANGUAGE`` different texts of each
+language, those of the least hashes, two windows of each.
 
 Cases: a null text, or one without a letter, gets ``und`` and score 0; ties go
 to the first language by name; repeated rows get equal results; null ids never
@@ -105,13 +105,8 @@ def train(df: DataFrame, column: str = "text", label: str = "lang", per_language
     """A model from the rows of ``df`` with text and label; None without any."""
     known = df.select(F.col(column).alias("text"), F.col(label).cast("string").alias("lang")).filter(
         F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
-    if not counts:
-        return None
-    rates = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    rows = (known.filter(chance < rates[F.col("lang")]).select(F.substring("text", 1, 40 * WINDOW).alias("text"), "lang")
-            .limit(2 * per_language * len(counts)).collect())
+    chosen = C.distinct_sample(known, "text", per_language, "lang")
+    rows = chosen.select(F.substring("text", 1, 40 * WINDOW).alias("text"), "lang").collect()
     rows.sort()
     return fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
 

@@ -4,8 +4,9 @@
 2. Expectation maximisation over the counts of vote patterns (3^6 at most,
    counted over all documents) estimates how often each labeller is right on
    good and on bad texts, and with that a posterior for every pattern.
-3. The posteriors of a bounded sample (``SAMPLE`` documents, picked by hash)
-   train a logistic scorer over hashed word shapes and pairs of shapes.
+3. The posteriors of a bounded sample (``SAMPLE`` different texts, those of the
+   least hashes) train a logistic scorer over hashed word shapes and pairs of
+   shapes.
 4. The scorer alone scores every whole document: ``score`` is the modelled
    probability of good text; below ``THRESHOLD`` the document is rejected.
 
@@ -170,9 +171,8 @@ def train(df: DataFrame, column: str = "text", sample: int = SAMPLE) -> dict | N
                     names=["codes", "shares", "good"])
                 yield out.filter(pa.array(seen.words > 0))
 
-    rate = min(1.0, sample / max(1, int(count.sum())))
-    chosen = texts.filter(F.pmod(F.xxhash64(column), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30))))
-    rows = chosen.mapInArrow(describe, "codes array<int>, shares array<double>, good double").limit(2 * sample).collect()
+    chosen = C.distinct_sample(texts.filter(F.col(column).rlike(r"[^\x20\x09-\x0D]")), column, sample)
+    rows = chosen.mapInArrow(describe, "codes array<int>, shares array<double>, good double").collect()
     weights, bias = _fit(rows) if rows else (np.zeros(DIMS), float(np.log(p.mean() / (1 - p.mean()))))
     return {"weights": weights, "bias": bias, "accuracies": accuracies}
 

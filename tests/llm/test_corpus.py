@@ -176,6 +176,22 @@ def test_quality_edges(spark, edge):
     assert p[0] > 0.9 > 0.5 > p[1]
 
 
+def copies_and_others(spark):
+    """3000 copies of the one text of 1000 whose hash is picked first, before 600 others."""
+    texts = spark.range(1000).select(F.concat(F.lit("copied words here "), "id").alias("text"))
+    copied = texts.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30))).first().text
+    rows = [(copied, "x")] * 3000 + [(f"some other words {i}", "xy"[i % 2]) for i in range(600)]
+    return spark.createDataFrame(rows, "text string, lang string")
+
+
+def test_quality_sample_counts_copies_once(spark, monkeypatch):
+    got, fit = [], quality._fit
+    monkeypatch.setattr(quality, "_fit", lambda rows: got.extend(rows) or fit(rows))
+    assert quality.train(copies_and_others(spark), sample=200) and len(got) == 200
+    got.clear()
+    assert quality.train(copies_and_others(spark), sample=2000) and len(got) == 601
+
+
 # ------------------------------------------------------------------ op3
 
 @here
@@ -336,6 +352,13 @@ def test_language_edges(spark, edge):
     assert language.train(edge.limit(0)) is None and language.predict(edge, None, ["doc_id"]).first().lang_pred == "und"
 
 
+def test_language_sample_counts_copies_once(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(language, "fit", lambda texts, langs: got.extend(zip(texts, langs)))
+    language.train(copies_and_others(spark), per_language=50)
+    assert len(set(got)) == len(got) and Counter(k for _, k in got) == {"x": 50, "y": 50}
+
+
 def test_toxicity_finds_marked_documents(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
