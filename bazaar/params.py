@@ -98,10 +98,10 @@ class OrderMartParams:
     ticket_grain: str = "ticket"         # "ticket" (one term per ticket) | "order"
     join_on_country: bool = False        # pivot joined on (order, country) instead of order
     sequence_bucket: str | None = "day"  # window split of each user's history
-    # True: user sequence on the base orders, before the ledger and user
-    # attribute joins (cheaper).  False: after them, exactly as the literal
-    # query orders it (differs only when a join fans an order out).
-    sequence_first: bool = True
+    # False: user sequence after the ledger and user attribute joins, as the
+    # literal query orders it.  True: on the base orders, before them
+    # (cheaper; differs when a join fans an order out).
+    sequence_first: bool = False
     # With a day range: window only the history of users with an order in
     # the range, and aggregate the ledger / items only for the range's
     # orders.  Exact for the rows returned; False computes everything.

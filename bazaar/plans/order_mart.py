@@ -162,13 +162,12 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     ref = refund_split(settlement, base, tickets, p)
     per_order, drink = item_category(items, merchant_extra, categories, p)
 
-    # The user sequence depends only on the order itself (user, time, id,
-    # day, drink flag), so by default it runs on the narrow base rows before
-    # the ledger joins: the duplicated read inside the bucketed sequence then
-    # only re-reads orders, not the ledger.  (If a join fans one order out,
-    # the copies share the sequence of the real next order instead of
-    # pointing at each other; ``sequence_first=False`` keeps the literal
-    # order.)
+    # The user sequence runs after the ledger and user attribute joins, as
+    # specified: if a join fans one order out, its copies point at each
+    # other.  ``sequence_first=True`` runs it on the narrow base rows before
+    # the joins, so that the duplicated read inside the bucketed sequence only
+    # re-reads orders, not the ledger; the copies then share the sequence of
+    # the real next order.
     x = lookup(base, drink, [("merchant_id", "x_merchant_id")],
                broadcast_max_rows=p.broadcast_max_rows)
     x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")

@@ -306,6 +306,17 @@ def test_order_mart_fan_out_sequence_first_vs_literal(spark, order_inputs, bucke
         same(OrderMartParams(sequence_first=True, sequence_bucket=bucket))
 
 
+def test_order_mart_default_is_the_literal_order(spark, order_inputs):
+    """Order 1 under two countries in the ledger, with the default parameters, over all days and for one."""
+    orders, settlement, *rest = order_inputs
+    extra = spark.createDataFrame([_ledger(9, 1, "USE", -10, T(2025, 11, 20), country="AU")], settlement.schema)
+    mart = order_mart(orders, settlement.unionByName(extra), *rest).where("order_id = 1")
+    assert sorted(r["Days_To_Next_Non_Drink"] for r in mart.collect()) == [0, 2]
+    day = str(mart.first()["created_at_local"])
+    one = order_mart(orders, settlement.unionByName(extra), *rest, OrderMartParams(days=DayRange(day, day)))
+    assert sorted(r["Days_To_Next_Non_Drink"] for r in one.where("order_id = 1").collect()) == [0, 2]
+
+
 def test_order_source_null_visitors(spark):
     d0 = 1_764_115_200_000
     ev = spark.createDataFrame([
