@@ -11,7 +11,8 @@ of ``WINDOW`` bytes over its whole length; the windows' scores are averaged
 by their number of letters.
 
 Training rows are a bounded sample: ``PER_LANGUAGE`` different texts of each
-language, those of the least hashes, two windows of each.
+language, those of the least hashes, two windows of each: the first and the middle one of the whole
+text.
 
 Cases: a null text, or one without a letter, gets ``und`` and score 0; ties go
 to the first language by name; repeated rows get equal results; null ids never
@@ -75,17 +76,22 @@ def _normal(p: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.maximum(p.sum(1, dtype=np.float32), 1))[:, None]
 
 
-def fit(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """(languages, cells by languages): the folded ridge solution."""
-    names = sorted(set(langs))
-    column = C.Bytes(pa.array(texts, pa.string()))
-    data = C.LOWER[column.data]
-    start, end, text = windows(column)
+def two_windows(texts: C.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text index) of the first and the middle window of each text."""
+    start, end, text = windows(texts)
     place = np.arange(len(text)) - np.searchsorted(text, text)
     count = np.bincount(text, minlength=len(texts))[text]
-    use = (place == 0) | (place == count // 2)  # the first and the middle window
-    x = _normal(presence(data, start[use], end[use]))
-    lang = np.array(langs)[text[use]]
+    use = (place == 0) | (place == count // 2)
+    return start[use], end[use], text[use]
+
+
+def fit(parts: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """(languages, cells by languages): the folded ridge solution for windows and their languages."""
+    names = sorted(set(langs))
+    size = np.array([len(b) for b in parts])
+    data = C.LOWER[np.frombuffer(b"".join(parts), np.uint8)]
+    x = _normal(presence(data, np.cumsum(size) - size, np.cumsum(size)))
+    lang = np.array(langs)
     y = np.where(lang[:, None] == np.array(names)[None, :], 1.0, -1.0)
     rng = np.random.default_rng(C.SEED + 8)
     each = max(1, LANDMARKS // len(names))
@@ -105,10 +111,19 @@ def train(df: DataFrame, column: str = "text", label: str = "lang", per_language
     """A model from the rows of ``df`` with text and label; None without any."""
     known = df.select(F.col(column).alias("text"), F.col(label).cast("string").alias("lang")).filter(
         F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    chosen = C.distinct_sample(known, "text", per_language, "lang")
-    rows = chosen.select(F.substring("text", 1, 40 * WINDOW).alias("text"), "lang").collect()
-    rows.sort()
-    return fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = C.Bytes(batch.column("text"))
+            start, end, text = two_windows(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([texts.data[s:e].tobytes() for s, e in zip(start, end)], pa.binary()),
+                 batch.column("lang").take(pa.array(text))], names=["part", "lang"])
+
+    C.bound_batches(df.sparkSession)
+    rows = sorted((bytes(r.part), r.lang) for r in C.distinct_sample(known, "text", per_language, "lang")
+                  .mapInArrow(cut, "part binary, lang string").collect())
+    return fit([b for b, _ in rows], [k for _, k in rows]) if rows else None
 
 
 def predict(df: DataFrame, model, id_columns: list[str], column: str = "text") -> DataFrame:

@@ -359,6 +359,14 @@ def test_language_sample_counts_copies_once(spark, monkeypatch):
     assert len(set(got)) == len(got) and Counter(k for _, k in got) == {"x": 50, "y": 50}
 
 
+def test_language_trains_on_the_true_middle(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(language, "fit", lambda parts, langs: got.extend(parts))
+    text = "a" * 100_000 + "M" * 2_000 + "b" * 99_000
+    language.train(spark.createDataFrame([(text, "x"), ("short", "y")], "text string, lang string"))
+    assert sorted(got) == [b"M" * 1000, b"a" * 1000, b"short"]
+
+
 def test_toxicity_finds_marked_documents(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
