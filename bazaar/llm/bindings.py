@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bloom_lm import op3_bloom_lm
 from .bpe import op10_bpe_tree
+from .compression_bands import op13_compression_bands
 from .language import op8_string_kernel
 from .mixing import op7_systematic_mix
 from .order_minhash import op5_order_minhash
@@ -25,6 +26,7 @@ QUERIES = {
     "op10_bpe_tree": op10_bpe_tree,
     "op5_order_minhash": op5_order_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op13_compression_bands": op13_compression_bands,
 }
 
 ORACLE: dict[str, str] = {
