@@ -5,6 +5,10 @@ from __future__ import annotations
 from .bloom_lm import op3_bloom_lm
 from .bpe import op10_bpe_tree
 from .compression_bands import op13_compression_bands
+from .filter_audit import ORACLE as AUDIT_SQL
+from .filter_audit import op12_filter_audit
+from .hard_negatives import ORACLE as NEGATIVES_SQL
+from .hard_negatives import op11_bit_negatives
 from .language import op8_string_kernel
 from .mixing import op7_systematic_mix
 from .order_minhash import op5_order_minhash
@@ -26,9 +30,13 @@ QUERIES = {
     "op10_bpe_tree": op10_bpe_tree,
     "op5_order_minhash": op5_order_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op11_bit_negatives": op11_bit_negatives,
+    "op12_filter_audit": op12_filter_audit,
     "op13_compression_bands": op13_compression_bands,
 }
 
 ORACLE: dict[str, str] = {
     "op4_va_file": TOP_K_SQL,
+    "op11_bit_negatives": NEGATIVES_SQL,
+    "op12_filter_audit": AUDIT_SQL,
 }

@@ -1,11 +1,13 @@
 """Quality rules (compression bands) and the filter audit against brute force."""
 
 import base64
+import itertools
 import os
 import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -13,6 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from bazaar.llm import compression_bands as bands
+from bazaar.llm import filter_audit as audit
 from bazaar.llm import text_counts
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +108,94 @@ def test_op13_on_documents(spark):
     got = {r.doc_id: tuple(r)[1:8] for r in bands.op13_compression_bands(spark, SF).collect()}
     assert got == {r.doc_id: (*counts(r.text), *verdict(r.text)) for r in rows}
     assert "Exchange" not in bands.op13_compression_bands(spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+# ----------------------------------------------------------------- op12
+
+def audited(docs, labels):
+    """The audit by applying every order to every document."""
+    least = {}
+    for d, t, _ in docs:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    good, toxic = ({d for d, q in labels[k] if q == 1 and d is not None} for k in (0, 1))
+    fails = []
+    for d, t, lang in docs:
+        text, words = t or "", WORD.findall(t or "")
+        f = "".join(x for x, hit in zip("ABCDE", (
+            len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            bool(re.search(r"[#$%&*|]", text)), d is not None and least[text] < d)) if hit)
+        fails.append((lang or "", d, f))
+    out, shapley = {}, Counter()
+    for part in {p for p, _, _ in fails}:
+        rows = [(d, f) for p, d, f in fails if p == part]
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = rows
+            for k, x in enumerate(order):
+                here_, left = [r for r in left if x in r[1]], [r for r in left if x not in r[1]]
+                shapley[part, x] += len(here_)
+                out[part, order, k + 1] = (len(left), len(here_), sum(x in f for _, f in rows) - len(here_),
+                                           sum(f == x for _, f in rows), sum(d in good for d, _ in here_),
+                                           sum(d in toxic for d, _ in here_))
+    return {(p, o, k): (*v, shapley[p, o[k - 1]]) for (p, o, k), v in out.items()}
+
+
+def as_audit(df):
+    return {(r.part, r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley)
+            for r in df.collect()}
+
+
+def test_galloping_merges_match_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 700, 5000):
+        lists = [np.unique(rng.integers(0, 20000, int(n * x))) for x in (1, 0.01, 0.5, 0)]
+        lists.append(np.arange(9000, 9000 + n))  # a stretch that others lack
+        for many in itertools.permutations(lists, 3):
+            assert audit.union(list(many)).tolist() == sorted(set(np.concatenate(many).tolist()))
+            assert audit.difference(many[0], many[1]).tolist() == sorted(set(many[0].tolist()) - set(many[1].tolist()))
+    ids = np.arange(0, 3000, 3)
+    assert all(audit.gallop(ids, k, lo) == max(lo, -(-k // 3)) for k in (0, 1, 3, 1500, 2998, 2999) for lo in (0, 1, -(-k // 3)))
+
+
+def rows_to_audit():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["ab", "Cd", "e", "f#", "gh", f"w{i}", f"x{i}y"]) for _ in range(rng.choice([0, 3, 150, 260])))
+             for i in range(60)]
+    docs = [(i, rng.choice(texts), rng.choice(["en", "de", None, ""])) for i in range(220)]
+    docs += [(7, "copy of itself", "en"), (7, "copy of itself", "en"), (None, texts[0], "en"), (None, None, None), (300, None, "xx"),
+             (301, "", "xx"), (302, "B " * 30000, "xx")]
+    labels = ([(i, rng.choice([0, 1, None])) for i in range(0, 220, 2)] + [(None, 1), (7, 1), (7, 0)],
+              [(i, rng.choice([0, 1, None])) for i in range(0, 220, 2)] + [(None, 1), (7, None), (7, 1)])
+    return docs, labels
+
+
+@pytest.mark.parametrize("bits,hot", [(15, 1000), (2, 3)])
+def test_audit_matches_brute_force(spark, monkeypatch, bits, hot):
+    monkeypatch.setattr(audit, "RANGE_BITS", bits)
+    monkeypatch.setattr(audit, "HOT", hot)
+    docs, labels = rows_to_audit()
+    df = (spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumn("part", F.lit("p"))
+          .withColumn("row", F.lit(1)).withColumn("audit_row", F.lit(2)).withColumn("good", F.lit(True)).repartition(5))
+    marks = spark.createDataFrame([(a, q, t) for (a, q), (_, t) in zip(*labels)], "doc_id long, quality int, toxic int")
+    assert as_audit(audit.audit(df, marks)) == audited(docs, labels)
+    assert audit.audit(df.limit(0), marks).count() == 0
+    nothing = as_audit(audit.audit(df.filter("lang = 'xx'"), marks.limit(0)))
+    assert nothing == audited([d for d in docs if d[2] == "xx"], ([], []))
+
+
+def test_audit_sql_matches_brute_force():
+    docs, labels = rows_to_audit()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT, toxic INT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", [(a, q, t) for (a, q), (_, t) in zip(*labels)])
+    assert {r[:3]: r[3:] for r in con.execute(audit.ORACLE).fetchall()} == audited(docs, labels)
+
+
+@here
+def test_op12_on_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    marks = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    want = audited(rows, ([(r.doc_id, r.quality) for r in marks], [(r.doc_id, r.toxic) for r in marks]))
+    assert as_audit(audit.op12_filter_audit(spark, SF)) == want
