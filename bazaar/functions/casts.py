@@ -36,47 +36,35 @@ def apply_cast_layer(df: DataFrame, layer: Mapping[str, Sequence[str]],
     return df.select(*out)
 
 
-# The typed columns of the revenue record, in source order
-# ("column type").  created_at and updated_at pass through uncast.
-REVENUE_CASTS = [
-    "id string", "wechat_id bigint", "order_id bigint", "restaurant_id bigint",
-    "deliverer_id string", "member_id bigint", "pay_type bigint", "transfer_type bigint",
-    "dtr double", "dtc double", "ctd double", "rtc double", "ctr double", "income double",
-    "revenue double", "tax double", "itc double", "fp double", "ds double", "dt double",
-    "rp double", "up double", "rt double", "rtgst double", "rtpst double", "ut double",
-    "utgst double", "utpst double", "zt double", "yt double", "ot double",
-    "shipping_distance double", "created_at_local timestamp_ntz",
-    "updated_at_local timestamp_ntz", "profit_type bigint", "restaurant_status bigint",
-    "desc string", "desc_order string", "desc_info string", "deliverer_status bigint",
-    "np double", "alipay double", "moneris double", "wechatpay double", "dc double",
-    "rc double", "sc double", "rl double", "gst double", "fc double", "td double", "cd double",
-    "cr double", "tr double", "ra double", "pr double", "pd double", "sca double", "st double",
-    "rcp double", "rct double", "r_fc double", "r_gs double", "r_gst double", "r_pst double",
-    "r_cr double", "r_tr double", "r_ra double", "r_pbt double", "r_fee double",
-    "r_fgst double", "company_id bigint", "restaurant_type string", "urevenue double",
-    "urevenue_gst double", "stripe double", "applepay double", "googlepay double",
-    "summary_id bigint", "braintree_credit_card double", "braintree_apple_pay double",
-    "note_type bigint", "other_payable_r double", "other_income_d double",
-    "origin_alipay double", "iot_alipay double", "citcon_alipay double",
-    "iot_wechatpay double", "citcon_wechatpay double", "dynamic_shipping_cost double",
-    "bf double", "bftgst double", "bftpst double", "deliverer_note_type string",
-    "noah_alipay double", "noah_wechatpay double", "braintree_venmo double",
-    "braintree_paypal double", "rds double", "pst double", "settlement_info string",
-    "revenue_job_id string", "advance double", "bdf double", "dst double", "at double",
-    "advertising_income double", "unearned_advertising double", "ar_adv double", "rf double",
-    "rft double", "order_sn string", "rcr decimal(34,6)", "business_scene string",
-    "refund_amount double", "expect_date_local string", "rebate_liability decimal(34,6)",
-    "country string", "month int",
-]
-
-
-def cast_spec(entries) -> dict[str, list[str]]:
-    """``["col type", ...]`` -> ``{type: [cols]}`` (for ``apply_cast_layer``)."""
-    out: dict[str, list[str]] = {}
-    for e in entries:
-        c, t = e.split(" ", 1)
-        out.setdefault(t, []).append(c)
-    return out
-
-
-REVENUE_CAST_LAYER = cast_spec(REVENUE_CASTS)
+# The typed columns of the revenue record, by type and in source
+# order within a type.  created_at and updated_at pass through uncast.
+REVENUE_CAST_LAYER = {
+    "string": [
+        "id", "deliverer_id", "desc", "desc_order", "desc_info", "restaurant_type", "deliverer_note_type",
+        "settlement_info", "revenue_job_id", "order_sn", "business_scene", "expect_date_local", "country",
+    ],
+    "bigint": [
+        "wechat_id", "order_id", "restaurant_id", "member_id", "pay_type", "transfer_type", "profit_type",
+        "restaurant_status", "deliverer_status", "company_id", "summary_id", "note_type",
+    ],
+    "double": [
+        "dtr", "dtc", "ctd", "rtc", "ctr", "income", "revenue", "tax", "itc", "fp", "ds", "dt", "rp", "up",
+        "rt", "rtgst", "rtpst", "ut", "utgst", "utpst", "zt", "yt", "ot", "shipping_distance", "np", "alipay",
+        "moneris", "wechatpay", "dc", "rc", "sc", "rl", "gst", "fc", "td", "cd", "cr", "tr", "ra", "pr", "pd",
+        "sca", "st", "rcp", "rct", "r_fc", "r_gs", "r_gst", "r_pst", "r_cr", "r_tr", "r_ra", "r_pbt", "r_fee",
+        "r_fgst", "urevenue", "urevenue_gst", "stripe", "applepay", "googlepay", "braintree_credit_card",
+        "braintree_apple_pay", "other_payable_r", "other_income_d", "origin_alipay", "iot_alipay",
+        "citcon_alipay", "iot_wechatpay", "citcon_wechatpay", "dynamic_shipping_cost", "bf", "bftgst", "bftpst",
+        "noah_alipay", "noah_wechatpay", "braintree_venmo", "braintree_paypal", "rds", "pst", "advance", "bdf",
+        "dst", "at", "advertising_income", "unearned_advertising", "ar_adv", "rf", "rft", "refund_amount",
+    ],
+    "timestamp_ntz": [
+        "created_at_local", "updated_at_local",
+    ],
+    "decimal(34,6)": [
+        "rcr", "rebate_liability",
+    ],
+    "int": [
+        "month",
+    ],
+}

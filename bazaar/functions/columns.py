@@ -6,7 +6,8 @@ whole-stage codegen; no Python runs per row.
 Numeric policy
 --------------
 * Integer cents are scaled to exact decimals (``scale_cents``).
-* Sums run on decimals, so the total does not depend on row order.
+* Sums run on decimals, so the total does not depend on row order; a rate
+  that is the same for all rows of a group divides the sum once.
 * Ratios and rates are computed on doubles (IEEE division is the same on
   every engine) and rounded half-up with ``round_half_up``.
 * Money leaves a mart as DOUBLE (``to_money``).
@@ -21,7 +22,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY_DEC = "decimal(22,2)"     # scaled cents, exact
-SUM_DEC = "decimal(38,6)"       # per-row terms that are not whole cents
+# Numbers out of JSON text: 16 digits before and 12 after the point.  Their sum
+# has type decimal(38,12), so up to 10 billion rows a group cannot overflow.
+JSON_DEC = "decimal(28,12)"
 
 
 def col(c: str | Column) -> Column:
@@ -83,26 +86,30 @@ def composite_id(*parts: str | Column, null_safe: bool = False) -> Column:
     return F.concat_ws("", *cols) if null_safe else F.concat(*cols)
 
 
-def json_text(doc: str | Column, key: str) -> Column:
-    """Text at ``$.key`` of a JSON string (NULL when missing or not JSON)."""
-    return F.get_json_object(col(doc), f"$.{key}")
+def json_fields(doc: str | Column) -> Column:
+    """A JSON object parsed once into a map of its top-level fields' texts.
 
+    Read fields with ``json_field``: together they follow
+    ``get_json_object(doc, '$.key')``, which parses once per path.  A document
+    that is no complete JSON object gives NULL.
+    """
+    return F.from_json(col(doc), "map<string, string>",
+                       {"allowUnquotedControlChars": "true", "allowNonNumericNumbers": "false"})
 
-def json_num(doc: str | Column, key: str) -> Column:
-    """Number at ``$.key``; NULL for a missing key, bad JSON or non-numeric
-    text (never an error)."""
-    return json_text(doc, key).try_cast("double")
 
+def json_field(fields: str | Column, key: str) -> Column:
+    """Text of a field: its first value that is not null where the key is
+    repeated (the map keeps repeated keys in order), nested values as JSON."""
+    m = col(fields)
+    told = F.filter(F.map_entries(m), lambda e: (e["key"] == F.lit(key)) & e["value"].isNotNull())
+    return F.coalesce(F.try_element_at(m, F.lit(key)), F.try_element_at(told, F.lit(1))["value"])
 
-def json_fields(doc: str | Column, keys) -> Column:
-    """Parse a JSON document once into a struct of text fields.
 
-    One parse for many paths (``get_json_object`` parses per path).  Each
-    field holds the value's text, as ``get_json_object`` returns it; a
-    missing key or a document that is not JSON gives NULL fields.
-    """
-    schema = ", ".join(f"`{k}` string" for k in keys)
-    return F.from_json(col(doc), schema)
+def json_decimal(fields: str | Column, key: str) -> Column:
+    """Number of a field as an exact decimal, rounded half up to 12 places;
+    NULL for a missing field, for text that is no finite number, and for
+    numbers of more than 16 digits before the point."""
+    return json_field(fields, key).try_cast(JSON_DEC)
 
 
 def first_nonempty(*cs: str | Column) -> Column:
@@ -112,8 +119,8 @@ def first_nonempty(*cs: str | Column) -> Column:
 
 def first_nonempty_json(doc: str | Column, *keys: str) -> Column:
     """First non-empty of several JSON paths of the same document (one parse)."""
-    j = json_fields(doc, keys)
-    return first_nonempty(*[j.getField(k) for k in keys])
+    # transform over a one-element array names the parsed document, so it is parsed once
+    return F.transform(F.array(json_fields(doc)), lambda m: first_nonempty(*[json_field(m, k) for k in keys]))[0]
 
 
 def value_map(c: str | Column, mapping: Mapping, default=None) -> Column:

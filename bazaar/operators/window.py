@@ -1,11 +1,4 @@
-"""Per-key window operators: latest version, user order sequence.
-
-Skew: a window partitioned by user sends all rows of one user to one
-task.  ``user_sequence`` therefore runs in two levels: a window per
-(user, time bucket), plus a small per-bucket summary whose prefix sums /
-next values are carried across buckets.  A hot user is spread over its
-buckets; the summary has one row per (user, bucket) only.
-"""
+"""Per-key window operators: latest version, user order sequence."""
 
 from __future__ import annotations
 
@@ -14,17 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_UNB = Window.unboundedPreceding
-
-
-def _dense_rank_by_changes(t: Column, w_seq) -> Column:
-    """DENSE_RANK by ``t`` computed in the (t, tie) order of ``w_seq``: the
-    running count of rows whose ``t`` differs (null-safe) from the previous
-    row.  Shares the sort of the other (t, tie)-ordered windows."""
-    prev = F.lag(t, 1).over(w_seq)
-    first = F.row_number().over(w_seq) == 1
-    chg = F.when(first | ~t.eqNullSafe(prev), F.lit(1)).otherwise(F.lit(0))
-    return chg
+from .scan import CHUNK, key_scan, quoted
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -44,90 +27,38 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def user_sequence(df: DataFrame, user: str, ts: str, tie_break: str, date: str,
                   rank_out: str = "order_rank", next_out: str = "next_order_date",
                   match: Column | None = None, match_out: str | None = None,
-                  bucket: str | None = "day") -> DataFrame:
+                  chunks: int | None = None) -> DataFrame:
     """Add, per user in time order:
 
     * ``rank_out``: DENSE_RANK by ``ts`` (ties share a rank);
     * ``next_out``: ``date`` of the next row by (``ts``, ``tie_break``);
     * ``match_out``: the smallest ``date`` among strictly later rows for
       which ``match`` holds (the forward frame ``1 FOLLOWING .. UNBOUNDED
-      FOLLOWING``, evaluated as a backward running frame on the reversed
-      order so it stays linear).
+      FOLLOWING``).
 
     NULL users form one sequence and NULL ``ts`` sorts first, as in SQL.
     ``date`` must not decrease when ``ts`` increases (e.g. the date of ts).
-    ``bucket`` is a ``date_trunc`` unit splitting each user's history into
-    window partitions (None: one partition per user).
-    """
-    if bucket is None:
-        return _user_sequence_flat(df, user, ts, tie_break, date, rank_out, next_out,
-                                   match, match_out)
-    u, t, k, d = F.col(user), F.col(ts), F.col(tie_break), F.col(date)
-    keys = ["__u0", "__un", "__b"]
-    x = df.withColumns({
-        "__u0": F.coalesce(u, F.lit(0).cast(df.schema[user].dataType)),
-        "__un": u.isNull(),
-        # NULL ts go to the smallest bucket, like NULLS FIRST.
-        "__b": F.coalesce(F.date_trunc(bucket, t).cast("timestamp_ntz"),
-                          F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")),
-    })
-    w_seq = Window.partitionBy(*keys).orderBy(t, k)
-    cols = {
-        "__chg": _dense_rank_by_changes(t, w_seq),
-        "__lead": F.lead(d, 1).over(w_seq),
-        "__last": F.lead(F.lit(True), 1).over(w_seq).isNull(),
-    }
-    if match is not None:
-        w_rev = (Window.partitionBy(*keys).orderBy(t.desc_nulls_last(), k.desc_nulls_last())
-                 .rowsBetween(_UNB, -1))
-        cols["__nm"] = F.min(F.when(match, d)).over(w_rev)
-    # Per-bucket summary straight from the input (no sort needed): distinct
-    # timestamps (NULL counts as one value, as in DENSE_RANK), the first
-    # row's date, and the earliest matching date.
-    # (``date`` does not decrease with ``ts``, so the first row's date is
-    # the bucket's smallest date; NULL ts only occur in the first bucket,
-    # which is never some other bucket's "next".)
-    summ_aggs = [(F.count_distinct(t) + F.max(t.isNull().cast("int"))).alias("__nd"),
-                 F.min(d).alias("__first")]
-    if match is not None:
-        summ_aggs.append(F.min(F.when(match, d)).alias("__bm"))
-    summ = x.groupBy(*keys).agg(*summ_aggs)
-    x = x.withColumns(cols)
-    x = x.withColumn("__ldr", F.sum("__chg").over(w_seq.rowsBetween(_UNB, 0))).drop("__chg")
-    sw = Window.partitionBy("__u0", "__un").orderBy("__b")
-    scols = {
-        "__off": F.coalesce(F.sum("__nd").over(sw.rowsBetween(_UNB, -1)), F.lit(0)),
-        "__nf": F.lead("__first", 1).over(sw),
-    }
-    if match is not None:
-        sw_rev = Window.partitionBy("__u0", "__un").orderBy(F.col("__b").desc()).rowsBetween(_UNB, -1)
-        scols["__lm"] = F.min("__bm").over(sw_rev)
-    summ = summ.withColumns(scols).drop("__nd", "__first", *(["__bm"] if match is not None else []))
 
-    out = x.join(summ, keys, "inner")
-    res = {
-        rank_out: (F.col("__ldr") + F.col("__off")).cast("int"),
-        next_out: F.when(F.col("__last"), F.col("__nf")).otherwise(F.col("__lead")),
-    }
-    if match is not None:
-        res[match_out] = F.least(F.col("__nm"), F.col("__lm"))
-    drop = ["__u0", "__un", "__b", "__ldr", "__lead", "__last", "__off", "__nf"]
-    if match is not None:
-        drop += ["__nm", "__lm"]
-    return out.withColumns(res).drop(*drop)
-
-
-def _user_sequence_flat(df, user, ts, tie_break, date, rank_out, next_out, match, match_out):
-    u, t, k, d = F.col(user), F.col(ts), F.col(tie_break), F.col(date)
-    w_seq = Window.partitionBy(u).orderBy(t, k)
-    cols = {
-        "__chg": _dense_rank_by_changes(t, w_seq),
-        next_out: F.lead(d, 1).over(w_seq),
+    A prefix scan (see ``scan``): no task holds a user's whole history, nor
+    all of a user's day.  A chunk hands on how many times it holds, the date
+    of its first row and its first matching date; a time on both sides of an
+    edge counts once.  ``chunks``: into how many the rows are cut.
+    """
+    t, k, d = quoted(ts), quoted(tie_break), quoted(date)
+    held = df.withColumn("__match", F.coalesce(match, F.lit(False)) if match is not None else F.lit(False))
+    rows = {
+        next_out: f"if(lead(true) OVER local IS NULL, c.next_date, lead(p.{d}) OVER local)",
+        rank_out: (f"cast(dense_rank() OVER (PARTITION BY p.{CHUNK}, p.{quoted(user)} ORDER BY p.{t}) "
+                   "+ coalesce(c.before, 0) AS int)"),
     }
     if match is not None:
-        w_rev = (Window.partitionBy(u).orderBy(t.desc_nulls_last(), k.desc_nulls_last())
-                 .rowsBetween(_UNB, -1))
-        cols[match_out] = F.min(F.when(match, d)).over(w_rev)
-    x = df.withColumns(cols)
-    return (x.withColumn(rank_out, F.sum("__chg").over(w_seq.rowsBetween(_UNB, 0)).cast("int"))
-            .drop("__chg"))
+        rows = {match_out: f"least(min(if(p.__match, p.{d}, NULL)) OVER below, c.next_match)"} | rows
+    return key_scan(
+        held, user, [ts, tie_break],
+        summary={"times": f"count(DISTINCT {t}) + max(int({t} IS NULL))",  # NULL is one time, as in DENSE_RANK
+                 "first_time": f"min(struct({t}))", "last_time": f"max(struct({t}))",
+                 "first_date": f"min_by({d}, struct({t}, {k}))", "first_match": f"min(if(__match, {d}, NULL))"},
+        linked={"on_both": "int(lag(last_time) OVER keys <=> first_time)"},
+        carry={"before": "coalesce(sum(times) OVER earlier, 0) - sum(on_both) OVER so_far",
+               "next_date": "lead(first_date) OVER keys", "next_match": "min(first_match) OVER later"},
+        rows=rows, chunks=chunks).drop("__match")

@@ -97,16 +97,16 @@ class OrderMartParams:
     days: DayRange = DayRange()          # output filter, applied after the windows
     ticket_grain: str = "ticket"         # "ticket" (one term per ticket) | "order"
     join_on_country: bool = False        # pivot joined on (order, country) instead of order
-    sequence_bucket: str | None = "day"  # window split of each user's history
-    # False: user sequence after the ledger and user attribute joins, as the
-    # literal query orders it.  True: on the base orders, before them
-    # (cheaper; differs when a join fans an order out).
-    sequence_first: bool = False
+    # Into how many chunks the orders are cut for the user sequence (None: the
+    # session's shuffle partitions).
+    sequence_chunks: int | None = None
+    # True: sum the ledger per (order, country, record type, refund day) before
+    # it is laid out by order, for ledgers in which few orders hold most rows.
+    preaggregate_ledger: bool = False
     # With a day range: window only the history of users with an order in
     # the range, and aggregate the ledger / items only for the range's
     # orders.  Exact for the rows returned; False computes everything.
     prune_to_range: bool = True
-    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,6 @@ class LedgerMartParams:
     gst_default: float = GST_DEFAULT
     write_off_types: tuple = WRITE_OFF_TYPES
     days: DayRange = DayRange()
-    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
 
 
 @dataclass(frozen=True)
@@ -148,10 +147,11 @@ class AttributionParams:
     # just after midnight keep their attribution.  False = cut at the day.
     lookback: bool = True
     domain: str | None = None
+    # First rows by visitor, time and order number, or None for all.
     limit: int | None = None
-    # Time-bucket width of the as-of windows (None = the tolerance); a
-    # narrower width spreads bursts of one visitor over more tasks.
-    bucket_ms: int | None = None
+    # Into how many chunks the events are cut for the match (None: the
+    # session's shuffle partitions).
+    chunks: int | None = None
     # True: rows without a visitor id form one visitor, as in SQL windows.
     # False: an order without a visitor id is never attributed.
     group_null_visitors: bool = True
@@ -169,5 +169,8 @@ class AdjustmentParams:
     # Non-zero test of the measures: None = exact (x != 0); a value = |x| > eps,
     # for doubles left with rounding noise by the chain of subtractions.
     nonzero_epsilon: float | None = None
+    # First rows by id and country, or None for all.
     limit: int | None = None
-    broadcast_max_rows: int | None = None   # None: AQE decides from runtime sizes
+    # A deliverer or area found twice under its key: "one" of them is used, or
+    # the job ends with an "error".
+    on_repeated_key: str = "one"

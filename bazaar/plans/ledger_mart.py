@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import cents_to_money, composite_id, json_fields, value_map
+from ..functions.columns import cents_to_money, composite_id, json_field, json_fields, value_map
 from ..operators.join import lookup
 from ..params import LedgerMartParams
 
+# The output columns, in order.
 CONTRACT = [
     "order_id", "country", "wechat_id", "company_id", "merchant_to_company",
     "company_to_merchant", "order_amount", "service_cash", "merchant_liability", "tax", "tax2",
@@ -50,7 +51,7 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
     if p.days.end_date is not None:
         s = s.where(day <= F.lit(p.days.end_date))
     gst = value_map("country", p.gst_rates, p.gst_default).cast("double")
-    s = s.withColumn("__meta", json_fields("metadata", list(_JSON)))
+    s = s.withColumn("__meta", json_fields("metadata"))
     raw = s.select(
         "id", "order_id", "country", "wechat_id", "company_id", "status", "commission_type",
         "record_type", "created_at", "merchant_id",
@@ -62,10 +63,9 @@ def ledger_mart(settlement: DataFrame, card_fee: DataFrame,
         composite_id("country", "city_id").alias("C_ID"),
         gst.alias("GST_RATE"),
         *[cents_to_money(c).alias(c) for c in _SCALED],
-        *[(F.col(f"__meta.{k}").try_cast("double") / 100.0).alias(out) for k, out in _JSON.items()],
+        *[(json_field("__meta", k).try_cast("double") / 100.0).alias(out) for k, out in _JSON.items()],
     )
-    x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")],
-               broadcast_max_rows=p.broadcast_max_rows)
+    x = lookup(raw, card_fee_rates(card_fee), [("pay_types", "payment_match_key")])
     x = x.withColumns({
         "revenue_card_fees": F.coalesce(-F.col("order_amount") * F.col("fee_rate"), F.lit(0.0)),
         "revenue_subsidy_order": F.when(F.col("record_type") == F.lit("PAY"), F.col("revenue"))

@@ -5,28 +5,28 @@ Inputs use the source schemas (see FIXTURES.md):
 orders, settlement, tickets, items, merchant_extra, categories, user_attr.
 
 Plan outline (Exchanges in brackets):
-  ledger pivot per (order, country)        [order_id, country]; partial agg
-  refund split per order                   [order_id]
-  items max per order                      [order_id]; partial agg
-  drink flag per merchant                  small dims, broadcast behind a row check
-  user sequence on base orders             [user, bucket] + small summary
-  left-join pivot, refunds, items          [order_id]
-  day filter                               last: ranks need full history
+  user sequence on base orders     [range of user, time, id], [chunk]; summary of two rows a chunk
+  day filter                       right after it: ranks need full history, nothing else does
+  ledger rows and ticket days      one union [order_id]: expired refunds, sums per country and order
+  items max per order              [order_id]; partial agg
+  left-join ledger, items          base [order_id]
+  drink flag per merchant, user attributes: lookups, broadcast if small
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (MONEY_DEC, SUM_DEC, cents_to_money, composite_id, json_fields,
-                                 net_of_rate, round_half_up, safe_ratio, scale_cents, to_money,
-                                 value_map)
+from ..functions.columns import (MONEY_DEC, cents_to_money, composite_id, json_decimal, json_fields,
+                                 net_of_rate, round_half_up, safe_ratio, scale_cents, to_double,
+                                 to_money, value_map)
 from ..operators.aggregate import pivot_sum_by_type
 from ..operators.join import lookup
 from ..operators.window import user_sequence
 from ..params import OrderMartParams
 
+# The output columns, in order.
 CONTRACT = [
     "order_id", "order_sn", "status", "country", "wechat_id", "city_id", "merchant_id",
     "pay_type", "pay_code", "item_quantity", "user_id", "created_at_local",
@@ -62,52 +62,101 @@ def gst_rate(country: str, p) -> F.Column:
     return value_map(country, p.gst_rates, p.gst_default).cast("double")
 
 
-def settlement_pivot(settlement: DataFrame, p: OrderMartParams) -> DataFrame:
-    """Ledger sums per (order, country) by record type, plus revenue parts."""
-    s = (settlement.where(F.col("order_type") == F.lit(p.order_type))
-         .withColumn("__meta", json_fields("metadata", ["commission", "subsidy"])))
+def ledger_terms(settlement: DataFrame, p: OrderMartParams) -> DataFrame:
+    """What the sums need of each ledger row; ``refund_day`` on refunds only."""
+    s = (settlement.where((F.col("order_type") == F.lit(p.order_type)) & F.col("order_id").isNotNull())
+         .withColumn("__meta", json_fields("metadata")))
+    refund = F.col("record_type") == F.lit(p.record_types["refund"])
+    terms = s.select("order_id", "country", "record_type", F.lit(1).cast("bigint").alias("rows"),
+                     scale_cents("merchant_liability").alias("liability"), scale_cents("revenue").alias("revenue"),
+                     json_decimal("__meta", "commission").alias("commission"),
+                     json_decimal("__meta", "subsidy").alias("subsidy"),
+                     F.when(refund, F.to_date("created_at")).alias("refund_day"))
+    if p.preaggregate_ledger:
+        keys = ["order_id", "country", "record_type", "refund_day"]
+        terms = terms.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in terms.columns if c not in keys])
+    return terms
+
+
+def ledger_sums(terms: DataFrame, p: OrderMartParams, *extra: F.Column) -> DataFrame:
+    """Ledger sums per (order, country) by record type, plus revenue parts.
+
+    Numbers out of the JSON text are summed as exact decimals; the rate
+    belongs to the group, so it divides each sum once.
+    """
     rt = p.record_types
-    liab = scale_cents("merchant_liability")
-    rev = scale_cents("revenue")
-    gst = gst_rate("country", p)
-    commission = F.coalesce((F.col("__meta.commission").try_cast("double") / 100.0 / gst).cast(SUM_DEC),
-                            F.lit(0).cast(SUM_DEC))
-    subsidy = F.coalesce((-F.col("__meta.subsidy").try_cast("double") / 100.0 / gst).cast(SUM_DEC),
-                         F.lit(0).cast(SUM_DEC))
     zero = F.lit(0).cast(MONEY_DEC)
-    return pivot_sum_by_type(
-        s, ["order_id", "country"], "record_type",
+    paid = F.col("record_type") == F.lit(rt["pay"])
+    sums = pivot_sum_by_type(
+        terms, ["order_id", "country"], "record_type",
         {f"liability_{k}": rt[k] for k in ("pay", "use", "no_settled", "settled", "refund")},
-        liab,
-        counts={"pay_count": rt["pay"]},
-        extra=[
-            F.sum(rev).alias("revenue_base_total"),
-            F.sum(commission).alias("revenue_commission_calculated"),
-            F.sum(subsidy).alias("revenue_subsidy_ticket_calculated"),
-            F.sum(F.when(F.col("record_type") == F.lit(rt["pay"]), rev).otherwise(zero))
-             .alias("revenue_subsidy_order_calculated"),
-        ],
-    )
+        F.col("liability"),
+        extra=[F.coalesce(F.sum(F.when(paid, F.col("rows"))), F.lit(0)).alias("pay_count"),
+               F.sum("revenue").alias("revenue_base_total"), F.sum("commission").alias("commission"),
+               F.sum("subsidy").alias("subsidy"),
+               F.sum(F.when(paid, F.col("revenue")).otherwise(zero)).alias("revenue_subsidy_order_calculated"), *extra])
 
+    def net(c):
+        return F.coalesce(to_double(c), F.lit(0.0)) / 100.0 / gst_rate("country", p)
+    return (sums.withColumns({"revenue_commission_calculated": net("commission"),
+                              "revenue_subsidy_ticket_calculated": -net("subsidy")}).drop("commission", "subsidy"))
 
-def refund_split(settlement: DataFrame, base: DataFrame, tickets: DataFrame,
-                 p: OrderMartParams) -> DataFrame:
-    """Refund liability whose ticket had expired by the refund day."""
-    refunds = settlement.where((F.col("order_type") == F.lit(p.order_type))
-                               & (F.col("record_type") == F.lit(p.record_types["refund"])))
-    refunds = refunds.select("order_id", "created_at", "merchant_liability")
-    known = base.select("order_id")
-    t = tickets.select(F.col("order_id").alias("t_order_id"),
+
+def settlement_pivot(settlement: DataFrame, p: OrderMartParams) -> DataFrame:
+    return ledger_sums(ledger_terms(settlement, p), p)
+
+
+def ticket_days(tickets: DataFrame, p: OrderMartParams) -> DataFrame:
+    """(order_id bigint, expire_day) of the tickets that can match an order.
+
+    Ticket keys are text and match an order whose id has that very text: the
+    rows are laid out by the number, and the text must be the number's own
+    (``007`` is no ticket of order 7).
+    """
+    t = tickets.select(F.col("order_id").try_cast("bigint").alias("order_id"), F.col("order_id").alias("key"),
                        F.col("expire_date").try_cast("date").alias("expire_day"))
+    t = (t.where((F.col("order_id").cast("string") == F.col("key")) & F.col("expire_day").isNotNull())
+         .select("order_id", "expire_day"))
     if p.ticket_grain == "order":
-        t = t.groupBy("t_order_id").agg(F.min("expire_day").alias("expire_day"))
-    elif p.ticket_grain != "ticket":
+        return t.groupBy("order_id").agg(F.min("expire_day").alias("expire_day"))
+    if p.ticket_grain != "ticket":
         raise ValueError("ticket_grain must be 'ticket' or 'order'")
-    j = (refunds.join(known, "order_id", "inner")
-         .join(t, F.col("order_id").cast("string") == F.col("t_order_id"), "left"))
-    expired = F.col("expire_day") <= F.to_date("created_at")
-    term = F.when(expired, scale_cents("merchant_liability")).otherwise(F.lit(0).cast(MONEY_DEC))
-    return j.groupBy("order_id").agg(F.sum(term).alias("liability_refund_expire"))
+    return t
+
+
+def ledger_by_order(settlement: DataFrame, tickets: DataFrame, base: DataFrame, p: OrderMartParams,
+                    range_orders: DataFrame | None = None) -> DataFrame:
+    """``ledger_sums`` with ``liability_refund_expire``: the refund liability
+    of the whole order, once for each of its tickets that had expired by the
+    refund day and for each of the base rows of its id (NULL without refunds).
+
+    Ledger rows, ticket days and base order ids share one layout by order:
+    sorted by day, a running count of the ticket days gives every refund its
+    expired tickets, without a join and whatever their number.  ``copy`` and
+    ``copies`` number the countries of an order.
+    """
+    def kind(df, name):
+        return df.withColumn("kind", F.lit(name))
+
+    rows = kind(ledger_terms(settlement, p), "ledger")
+    for more in (kind(ticket_days(tickets, p).withColumnRenamed("expire_day", "refund_day"), "ticket"),
+                 kind(base.select("order_id").where(F.col("order_id").isNotNull()), "order")):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    if range_orders is not None:
+        rows = rows.join(range_orders, "order_id", "left_semi")
+    order = Window.partitionBy("order_id")
+    by_day = (order.orderBy(F.col("refund_day").asc_nulls_first())
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    expired = F.count(F.when(F.col("kind") == "ticket", F.lit(1))).over(by_day)
+    known = F.count(F.when(F.col("kind") == "order", F.lit(1))).over(order)
+    refund = F.col("record_type") == F.lit(p.record_types["refund"])
+    laid = (rows.repartition("order_id").withColumn("times", (expired * known).cast("decimal(10,0)"))
+            .where(F.col("kind") == "ledger")
+            .withColumn("late", F.when(refund, F.coalesce(F.col("liability") * F.col("times"), F.lit(0)))))
+    sums = ledger_sums(laid, p, F.sum("late").alias("late"))
+    return sums.withColumns({
+        "liability_refund_expire": F.sum("late").over(order), "copies": F.count(F.lit(1)).over(order),
+        "copy": F.row_number().over(order.orderBy("country"))}).drop("late")
 
 
 def item_category(items: DataFrame, merchant_extra: DataFrame, categories: DataFrame,
@@ -123,69 +172,66 @@ def item_category(items: DataFrame, merchant_extra: DataFrame, categories: DataF
     extra = merchant_extra.select(F.col("merchant_id").try_cast("bigint").alias("x_merchant_id"),
                                   "review_merchant_id")
     cats = categories.select(F.col("merchant_id").alias("c_merchant_id"), "bing_category")
-    drink = (lookup(extra, cats, [("review_merchant_id", "c_merchant_id")],
-                    broadcast_max_rows=p.broadcast_max_rows)
+    drink = (lookup(extra, cats, [("review_merchant_id", "c_merchant_id")])
              .groupBy("x_merchant_id")
              .agg(F.bool_or(F.coalesce(F.col("bing_category").startswith(p.drink_prefix),
                                        F.lit(False))).alias("m_is_drink")))
     return per_order, drink
 
 
-def _prune_to_range(base: DataFrame, settlement: DataFrame, items: DataFrame,
-                    p: OrderMartParams):
-    """Inputs reduced to what the rows of the day range depend on.
-
-    Sequence values of an order depend only on its user's orders, so the
-    windows keep the full history of users active in the range (NULL users
-    included, matched null-safe).  Ledger and item aggregates are per
-    order, so only the range's orders are needed.
-    """
-    in_range = filter_days(base, "created_at_local", p.days)
-    active = in_range.select(F.col("user_id").alias("__active_user")).distinct()
-    base = base.join(active, base["user_id"].eqNullSafe(active["__active_user"]), "left_semi")
-    range_orders = in_range.select(F.col("order_id").alias("__range_order")).distinct()
-    settlement = settlement.join(
-        range_orders, settlement["order_id"] == range_orders["__range_order"], "left_semi")
-    items = items.join(
-        range_orders, items["order_id"].try_cast("bigint") == range_orders["__range_order"],
-        "left_semi")
-    return base, settlement, items
+def user_copies(user_attr: DataFrame) -> DataFrame:
+    """First delivery time per user; a repeated user keeps its rows, numbered."""
+    ua = user_attr.select("user_tid", F.col("first_order_order_time").try_cast("timestamp_ntz").alias("first_delivery_ts"))
+    user = Window.partitionBy("user_tid")
+    return ua.where(F.col("user_tid").isNotNull()).withColumns({
+        "user_copies": F.count(F.lit(1)).over(user),
+        "user_copy": F.row_number().over(user.orderBy("first_delivery_ts"))})
 
 
 def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
                items: DataFrame, merchant_extra: DataFrame, categories: DataFrame,
                user_attr: DataFrame, p: OrderMartParams = OrderMartParams()) -> DataFrame:
-    base = base_orders(orders, p)
-    if p.prune_to_range and (p.days.start_date is not None or p.days.end_date is not None):
-        base, settlement, items = _prune_to_range(base, settlement, items, p)
-    piv = settlement_pivot(settlement, p)
-    ref = refund_split(settlement, base, tickets, p)
+    base = every = base_orders(orders, p)
     per_order, drink = item_category(items, merchant_extra, categories, p)
-
-    # The user sequence runs after the ledger and user attribute joins, as
-    # specified: if a join fans one order out, its copies point at each
-    # other.  ``sequence_first=True`` runs it on the narrow base rows before
-    # the joins, so that the duplicated read inside the bucketed sequence only
-    # re-reads orders, not the ledger; the copies then share the sequence of
-    # the real next order.
-    x = lookup(base, drink, [("merchant_id", "x_merchant_id")],
-               broadcast_max_rows=p.broadcast_max_rows)
+    range_orders = None
+    if p.prune_to_range and (p.days.start_date is not None or p.days.end_date is not None):
+        # Sequence values depend only on the user's orders, so the history of
+        # the range's users is enough (NULL users match null-safe); ledger, tickets
+        # and items of the range's orders are.
+        in_range = filter_days(base, "created_at_local", p.days)
+        active = in_range.select(F.col("user_id").alias("__active_user")).distinct()
+        base = base.join(active, base["user_id"].eqNullSafe(active["__active_user"]), "left_semi")
+        range_orders = in_range.select("order_id").where(F.col("order_id").isNotNull())
+        per_order = per_order.join(range_orders, "order_id", "left_semi")
+
+    x = lookup(base, drink, [("merchant_id", "x_merchant_id")], spread_by="order_id")
     x = x.withColumn("is_drink", F.coalesce(F.col("m_is_drink"), F.lit(False))).drop("m_is_drink")
-
-    def sequence(df):
-        return user_sequence(df, "user_id", "created_at_local_time", "order_id",
-                             "created_at_local", rank_out="order_rank",
-                             next_out="next_order_date",
-                             match=(F.col("is_drink") == F.lit(False)),
-                             match_out="next_non_drink", bucket=p.sequence_bucket)
-
-    if p.sequence_first:
-        x = sequence(x)
-    piv_on = ["order_id", "country"] if p.join_on_country else ["order_id"]
-    piv_sel = piv if p.join_on_country else piv.drop("country")
-    x = (x.join(piv_sel, piv_on, "left")
-         .join(ref, "order_id", "left")
-         .join(per_order, "order_id", "left"))
+    # The sequence runs on the narrow base rows, before the joins that may fan
+    # an order out (two countries in the ledger, a repeated user id).
+    x = user_sequence(x, "user_id", "created_at_local_time", "order_id", "created_at_local",
+                      rank_out="order_rank", next_out="next_order_date",
+                      match=(F.col("is_drink") == F.lit(False)), match_out="next_non_drink",
+                      chunks=p.sequence_chunks)
+    x = filter_days(x, "created_at_local", p.days)
+    x = lookup(x, user_copies(user_attr), [("user_id", "user_tid")], spread_by="order_id")
+    ledger = ledger_by_order(settlement, tickets, every, p, range_orders)
+    if p.join_on_country:
+        refunds = ledger.select("order_id", "liability_refund_expire").distinct()
+        x = (x.join(ledger.drop("liability_refund_expire").withColumns({"copy": F.lit(1), "copies": F.lit(1)}),
+                    ["order_id", "country"], "left").join(refunds, "order_id", "left"))
+    else:
+        x = x.join(ledger.drop("country"), "order_id", "left")
+    x = x.join(per_order, "order_id", "left")
+    # As specified, the sequence sees the copies of a fanned-out order: they
+    # share their time and id, so each points at the next one (the order's own
+    # day, also as the next non-drink day), and the last at the next order.
+    last = (F.coalesce(F.col("copy") == F.col("copies"), F.lit(True))
+            & F.coalesce(F.col("user_copy") == F.col("user_copies"), F.lit(True)))
+    own = F.col("created_at_local")
+    x = x.withColumns({
+        "next_order_date": F.when(last, F.col("next_order_date")).otherwise(own),
+        "next_non_drink": F.when(last | F.col("is_drink"), F.col("next_non_drink"))
+                           .otherwise(F.coalesce(own, F.col("next_non_drink")))})
 
     tax_rate = safe_ratio("dw_tax", "dw_subtotal")
     x = x.withColumn("tax_rate", tax_rate)
@@ -203,23 +249,14 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
         "Amount_REFUND_by_user": amount(F.col("liability_refund") - F.col("liability_refund_expire")),
         "revenue": to_money("revenue_base_total") + F.lit(0.0),
         "revenue_for_commission": to_money("revenue_base_total"),
-        "revenue_commission": to_money("revenue_commission_calculated"),
+        "revenue_commission": F.col("revenue_commission_calculated"),
         "revenue_card_fees": F.lit(0.0),
-        "revenue_subsidy": to_money(F.col("revenue_subsidy_ticket_calculated")
-                                    + F.col("revenue_subsidy_order_calculated")),
-        "revenue_others": to_money(F.col("revenue_base_total")
-                                   - F.col("revenue_commission_calculated")
-                                   - F.col("revenue_subsidy_ticket_calculated")
-                                   - F.col("revenue_subsidy_order_calculated")),
+        "revenue_subsidy": (F.col("revenue_subsidy_ticket_calculated")
+                            + to_money("revenue_subsidy_order_calculated")),
+        "revenue_others": (to_money("revenue_base_total") - F.col("revenue_commission_calculated")
+                           - F.col("revenue_subsidy_ticket_calculated")
+                           - to_money("revenue_subsidy_order_calculated")),
     })
-
-    ua = user_attr.select(F.col("user_tid"),
-                          F.col("first_order_order_time").try_cast("timestamp_ntz")
-                          .alias("first_delivery_ts"))
-    x = lookup(x, ua, [("user_id", "user_tid")],
-               broadcast_max_rows=p.broadcast_max_rows)
-    if not p.sequence_first:
-        x = sequence(x)
     first = F.col("order_rank") == 1
     later = F.col("first_delivery_ts") > F.col("created_at_local_time")
     x = x.withColumns({
@@ -249,8 +286,7 @@ def order_mart(orders: DataFrame, settlement: DataFrame, tickets: DataFrame,
     })
     x = x.withColumn("item_left", F.col("item_quantity") - (
         F.col("item_Use") + F.col("item_No_settled") + F.col("item_Settled") + F.col("item_refund")))
-    out = x.select(*CONTRACT)
-    return filter_days(out, "created_at_local", p.days)
+    return x.select(*CONTRACT)
 
 
 def filter_days(df: DataFrame, date_col: str, days) -> DataFrame:

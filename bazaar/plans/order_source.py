@@ -11,6 +11,7 @@ from ..operators.asof import last_touch
 from ..operators.join import active_mapping
 from ..params import AttributionParams, lookback_day
 
+# The output columns, in order.
 CONTRACT = ["visituserid", "order_creation_time", "time_local", "eventvariable_orderid",
             "W_ID", "dt", "Order_Source_List", "Order_Source"]
 
@@ -52,7 +53,7 @@ def order_source(events: DataFrame, config: DataFrame,
                    is_source=is_source, payload=["source_name", "list_name"],
                    tolerance_ms=p.tolerance_ms,
                    tie_break=[F.col("source_name"), F.col("list_name")], out="touch",
-                   bucket_ms=p.bucket_ms)
+                   chunks=p.chunks)
     src = F.col("touch.source_name")
     lst = F.col("touch.list_name")
     found = F.col("touch").isNotNull() & src.isNotNull()
@@ -65,4 +66,4 @@ def order_source(events: DataFrame, config: DataFrame,
     if out_start is not None and p.lookback:
         m = m.where(day_between("dt", start=out_start))
     m = m.select(*CONTRACT)
-    return m if p.limit is None else m.limit(p.limit)
+    return m if p.limit is None else m.orderBy("visituserid", "order_creation_time", "eventvariable_orderid").limit(p.limit)

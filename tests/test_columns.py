@@ -36,19 +36,30 @@ def test_composite_id_null_rules(spark):
         ["GB", "GB7", ""]
 
 
-def test_json_num_tolerates_bad_input(spark):
-    docs = [('{"k": 12}',), ('{"k": "x"}',), ('{"j": 1}',), ("not json",), ("",), (None,),
-            ('{"k": 1.5e2}',)]
-    assert one(spark, C.json_num("d", "k"), docs, "d string") == \
-        [12.0, None, None, None, None, None, 150.0]
-
-
-def test_json_fields_matches_get_json_object_text(spark):
-    docs = [('{"a": 12, "b": "x"}',), ('{"a": ""}',), ("oops",), ('{"a": [1,2]}',)]
-    df = spark.createDataFrame(docs, "d string")
-    got = df.select(C.json_fields("d", ["a", "b"]).alias("j")).select("j.a", "j.b").collect()
-    ref = df.select(F.get_json_object("d", "$.a"), F.get_json_object("d", "$.b")).collect()
-    assert [tuple(r) for r in got] == [tuple(r) for r in ref]
+def test_json_decimal_is_exact_and_tolerates_bad_input(spark):
+    docs = [('{"k": 12}',), ('{"k": "x"}',), ('{"j": 1}',), ("not json",), ("",), (None,), ('{"k": "0.0000001234567"}',),
+            ('{"k": "1e-7"}',), ('{"k": "NaN"}',), ('{"k": 12345678901234567}',), ('{"k": " 5 "}',), ('{"k": ""}',)]
+    assert one(spark, C.json_decimal(C.json_fields("d"), "k"), docs, "d string") == [
+        Decimal(12), None, None, None, None, None, Decimal("0.000000123457"), Decimal("1e-7"), None, None, Decimal(5), None]
+
+
+DOCS = ['{"a":1,"a":2,"b":0}', '{"a":null,"a":2}', '{"a":2,"a":null}', '{"a":"x","b":"y"', '{"a":1', '{"a":1,"b":',
+        '{"a":{"b":1,"c":[1,2]},"b":{}}', '{"a":[1,{"z":null}]}', '{"a":1.50,"b":1e3}', '{"a":true,"b":""}', '[{"a":1}]', '[1]',
+        '"a"', "1", "", "  ", "null", None, "{'a':'q'}", "{a:1}", '{"a":"line\nbreak"}', '{"b":{"a":5}}', '{"a":1}{"a":2}',
+        '{"a":1} x', 'x{"a":1}', '{"a" : " s ", "b" : "\u00e9"}', '{"a":NaN}', '{"a":01}', '{"A":1,"b":"B"}', '{"a":1,}',
+        '{"":1,"a":3}', '{"a":"x","a":"y","a":null,"b":[],"b":1}', "{}"]
+
+
+def test_json_fields_follow_get_json_object(spark):
+    """Repeated keys, truncated text, nested values: as one path extraction per field, with one parse."""
+    df = spark.createDataFrame([(d,) for d in DOCS], "d string")
+    read = df.withColumn("j", C.json_fields("d"))
+    got = read.select("d", C.json_field("j", "a").alias("a"), C.json_field("j", "b").alias("b"))
+    want = df.select("d", F.get_json_object("d", "$.a").alias("a"), F.get_json_object("d", "$.b").alias("b"))
+    assert got.collect() == want.collect()
+    assert {r.a for r in got.where("d LIKE '%\"a\":1,\"a\":2%'").collect()} == {"1"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_first_nonempty_json(spark):

@@ -70,9 +70,9 @@ def order_inputs(spark):
     return orders, settlement, tickets, items, extra, cats, users
 
 
-@pytest.mark.parametrize("bucket", ["day", None])
-def test_order_mart_edge_rows(spark, order_inputs, bucket):
-    out = order_mart(*order_inputs, OrderMartParams(sequence_bucket=bucket))
+@pytest.mark.parametrize("params", [{}, {"sequence_chunks": 1}, {"sequence_chunks": 9, "preaggregate_ledger": True}])
+def test_order_mart_edge_rows(spark, order_inputs, params):
+    out = order_mart(*order_inputs, OrderMartParams(**params))
     got = {r["order_id"]: r for r in out.collect()}
     assert sorted(got) == [1, 2, 3, 7]
     o1, o2, o3, o7 = got[1], got[2], got[3], got[7]
@@ -284,26 +284,65 @@ def test_config_table_create_and_preview(spark):
     assert preview(t, 10, "value1").count() == 10
 
 
-@pytest.mark.parametrize("bucket", ["day", None])
-def test_order_mart_fan_out_sequence_first_vs_literal(spark, order_inputs, bucket):
-    """Order 1 has ledger rows under two countries, so the pivot join gives
-    two copies of it.  Literal order: the first copy sees the second as a
-    later non-drink order (0 days); sequence-first: both copies look past
-    themselves to order 3 (2 days)."""
+@pytest.mark.parametrize("chunks", [None, 7])
+def test_order_mart_copies_of_an_order_point_at_each_other(spark, order_inputs, chunks):
+    """Order 1 under two countries in the ledger and its user twice in the
+    attribute table: four copies.  All but the last see another copy of
+    order 1 as the next, a non-drink order of the same day."""
+    orders, settlement, *rest, users = order_inputs
+    extra = spark.createDataFrame([_ledger(9, 1, "USE", -10, T(2025, 11, 20), country="AU")], settlement.schema)
+    twice = users.unionByName(users.select("user_tid", F.lit("2025-11-25 00:00:00").alias("first_order_order_time")))
+    out = order_mart(orders, settlement.unionByName(extra), *rest, twice, OrderMartParams(sequence_chunks=chunks)).collect()
+    first = [r for r in out if r["order_id"] == 1]
+    assert sorted(r["Days_To_Next_Non_Drink"] for r in first) == [0, 0, 0, 2]
+    assert sorted(r["next_order_date_diff"] for r in first) == [0, 0, 0, 0]     # order 2 has the same time
+    drink = [r for r in out if r["order_id"] == 2]                              # two copies, of a drink shop
+    assert sorted(r["next_order_date_diff"] for r in drink) == [0, 2]
+    assert [r["Days_To_Next_Non_Drink"] for r in drink] == [2, 2]
+    assert {r["order_rank"] for r in first + drink} == {1}
+
+
+def test_order_mart_ticket_keys_are_text(spark, order_inputs):
+    """Tickets match an order by the text of its id: 003 and " 3" are no tickets of order 3."""
+    orders, settlement, tickets, *rest = order_inputs
+    odd = spark.createDataFrame([("003", "2025-11-01"), (" 3", "2025-11-01"), ("3.0", "2025-11-01"), ("x", "2025-11-01"),
+                                 (None, "2025-11-01"), ("3", None), ("3", "bad")], tickets.schema)
+    plain, more = (order_mart(orders, settlement, t, *rest).where("order_id = 3").first()["Amount_REFUND_expire"]
+                   for t in (tickets, tickets.unionByName(odd)))
+    assert plain == more == -2.0
+
+
+def test_order_mart_refunds_count_once_per_base_row(spark, order_inputs):
+    """Two base rows of one order id double its expired refunds, as the join to the base orders does."""
+    orders, *rest = order_inputs
+    twice = orders.unionByName(orders.where("order_id = 3").withColumn("country", F.lit("AU")))
+    got = [r["Amount_REFUND_expire"] for r in order_mart(twice, *rest).where("order_id = 3").collect()]
+    assert got == [-4.0, -4.0]
+
+
+def test_order_mart_lays_out_every_input_once_by_order(spark, order_inputs):
+    """Ledger, tickets and base ids share one exchange on the order id, the items and the base rows have one each."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = order_mart(*order_inputs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_order = [x for x in text.split("\n") if "Exchange hashpartitioning(order_id" in x]
+    assert len(by_order) == 3 and all(x.count("#", 0, x.index(",")) == 1 for x in by_order), by_order
+    assert "hashpartitioning(cast(order_id" not in text
+
+
+def test_order_mart_money_is_exact_below_a_millionth(spark, order_inputs):
+    """Fractions of cents in the JSON add up exactly; the rate divides the sum."""
     orders, settlement, *rest = order_inputs
-    extra = spark.createDataFrame([_ledger(9, 1, "USE", -10, T(2025, 11, 20), country="AU")],
-                                  settlement.schema)
-    inputs = (orders, settlement.unionByName(extra), *rest)
-    lit = order_mart(*inputs, OrderMartParams(sequence_first=False, sequence_bucket=bucket))
-    first = order_mart(*inputs, OrderMartParams(sequence_first=True, sequence_bucket=bucket))
-    pick = lambda df: sorted(r["Days_To_Next_Non_Drink"] for r in df.where("order_id = 1").collect())
-    assert pick(lit) == [0, 2]
-    assert pick(first) == [2, 2]
-    # without fan-out both orders agree
-    same = lambda p: sorted((r["order_id"], r["order_rank"], r["next_order_date"],
-                             r["Days_To_Next_Non_Drink"]) for r in order_mart(*order_inputs, p).collect())
-    assert same(OrderMartParams(sequence_first=False, sequence_bucket=bucket)) == \
-        same(OrderMartParams(sequence_first=True, sequence_bucket=bucket))
+    many = [_ledger(100 + i, 2, "USE", 0, T(2025, 11, 20), meta='{"commission": %s, "subsidy": "%s"}' % c)
+            for i, c in enumerate([("0.00001", "0.0000001"), ("0.00002", "1e-7"), ("120000000.5", "-3"),
+                                   ("-120000000.5", "n/a"), ('"NaN"', "3"), ("99999999999999999999", "")])]
+    out = order_mart(orders, settlement.unionByName(spark.createDataFrame(many, settlement.schema)), *rest)
+    r = out.where("order_id = 2").first()
+    assert r["revenue_commission"] == 0.00003 / 100.0 / 1.2
+    assert r["revenue_subsidy"] == -(0.0000002 / 100.0 / 1.2)
 
 
 def test_order_mart_default_is_the_literal_order(spark, order_inputs):

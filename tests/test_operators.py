@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from bazaar.operators.aggregate import exposure_by, funnel, pivot_sum_by_type
 from bazaar.operators.asof import last_touch
-from bazaar.operators.join import active_mapping, lookup, not_in_list, small_side
+from bazaar.operators.join import active_mapping, lookup, not_in_list, unique_dimension
+from bazaar.operators.scan import CHUNK, chunked
 from bazaar.operators.window import latest_per_key, user_sequence
 
 from .conftest import rows
@@ -47,16 +48,64 @@ def _seq_brute(data):
     return res
 
 
-@pytest.mark.parametrize("bucket", ["day", "hour", "month", None])
-def test_user_sequence_matches_brute_force(spark, bucket):
+@pytest.mark.parametrize("chunks", [None, 1, 3, 40])
+def test_user_sequence_matches_brute_force(spark, chunks):
     data = _seq_data(7)
     df = spark.createDataFrame(data, "u bigint, ts timestamp_ntz, id bigint, d date, m boolean")
     out = user_sequence(df, "u", "ts", "id", "d", "rk", "nx", match=F.col("m"), match_out="nm",
-                        bucket=bucket)
+                        chunks=chunks)
     got = {r["id"]: (r["rk"], r["nx"], r["nm"]) for r in out.collect()}
     assert got == _seq_brute(data)
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_user_sequence_with_one_hot_user_and_day(spark, tmp_path):
+    """A third of all rows has no user and one day, some of it one instant:
+    chunks stay even, the input is scanned once, results are those of brute force."""
+    rnd = random.Random(3)
+    day = dt.datetime(2024, 5, 5)
+    data = []
+    for i in range(3000):
+        if i % 3 == 0:
+            u, ts = None, day + dt.timedelta(seconds=rnd.choice([0, 0, rnd.randrange(86_400)]))
+        else:
+            u, ts = rnd.randrange(400), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(24 * 300))
+        data.append((u, ts, i, ts.date(), rnd.random() < 0.2))
+    path = str(tmp_path / "seq")
+    spark.createDataFrame(data, "u bigint, ts timestamp_ntz, id bigint, d date, m boolean").write.parquet(path)
+    df = spark.read.parquet(path)
+    sizes = [r["count"] for r in chunked(df, ["u", "ts", "id"], 12).groupBy(CHUNK).count().collect()]
+    assert len(sizes) >= 11 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    out = user_sequence(df, "u", "ts", "id", "d", "rk", "nx", match=F.col("m"), match_out="nm", chunks=12)
+    assert {r["id"]: (r["rk"], r["nx"], r["nm"]) for r in out.collect()} == _seq_brute(data)
+    text = final_plan(out)
+    assert text.count("FileScan") == 1 and text.count("ReusedExchange") == 1
+    # windows run where the chunks are: rows cross the network for the cut only
+    assert text.count("+- Exchange rangepartitioning") == 1 and text.count("+- Exchange shufflepartitionidpassthrough") == 1
+    assert "hashpartitioning(u" not in text
+
+
+def test_user_sequence_edges(spark):
+    schema = "u bigint, ts timestamp_ntz, id bigint, d date, m boolean"
+    assert user_sequence(spark.createDataFrame([], schema), "u", "ts", "id", "d").count() == 0
+    one = [(1, None, 1, None, True), (1, None, 2, None, None), (None, None, None, None, None)]
+    out = user_sequence(spark.createDataFrame(one, schema), "u", "ts", "id", "d", "rk", "nx", match=F.col("m"),
+                        match_out="nm", chunks=3)
+    assert sorted((r.id or 0, r.rk, r.nx, r.nm) for r in out.collect()) == [(0, 1, None, None), (1, 1, None, None), (2, 1, None, None)]
+    # one instant of one user over many chunks is one rank
+    t = dt.datetime(2024, 1, 1)
+    tied = spark.createDataFrame([(7, t, i, t.date(), i == 150) for i in range(200)] +
+                                 [(7, t + dt.timedelta(1), 500, t.date() + dt.timedelta(1), False)], schema)
+    got = {r.id: (r.rk, r.nx, r.nm) for r in user_sequence(tied, "u", "ts", "id", "d", "rk", "nx", F.col("m"), "nm", 16).collect()}
+    assert {got[i][0] for i in range(200)} == {1} and got[500] == (2, None, None)
+    assert got[199][1] == t.date() + dt.timedelta(1) and got[198][1] == t.date()
+    assert {got[i][2] for i in range(150)} == {t.date()} and {got[i][2] for i in range(150, 200)} == {None}
+
+
 # ------------------------------------------------------------------ as-of
 def _touch_brute(data, tol):
     res = {}
@@ -73,9 +122,9 @@ def _touch_brute(data, tol):
     return res
 
 
-@pytest.mark.parametrize("tol,width", [(3_600_000, None), (50, None), (None, None),
-                                       (3_600_000, 1_000_000), (5_000, 997)])
-def test_last_touch_matches_brute_force(spark, tol, width):
+@pytest.mark.parametrize("tol,chunks", [(3_600_000, None), (50, None), (None, None), (3_600_000, 1),
+                                        (5_000, 60), (None, 60)])
+def test_last_touch_matches_brute_force(spark, tol, chunks):
     rnd = random.Random(11)
     data = []
     for i in range(500):
@@ -86,7 +135,7 @@ def test_last_touch_matches_brute_force(spark, tol, width):
                      None if tgt else rnd.choice([None, "L1", "L2"])))
     df = spark.createDataFrame(data, "u string, ms bigint, id int, tgt boolean, src string, lst string")
     out = last_touch(df, "u", F.col("ms"), F.col("tgt"), ~F.col("tgt"), ["src", "lst"], tol,
-                     tie_break=[F.col("src"), F.col("lst")], bucket_ms=width)
+                     tie_break=[F.col("src"), F.col("lst")], chunks=chunks)
     got = {r["id"]: (None if r["touch"] is None else (r["touch"]["src"], r["touch"]["lst"]))
            for r in out.collect()}
     assert got == _touch_brute(data, tol)
@@ -107,6 +156,26 @@ def test_last_touch_tolerance_edges(spark):
     assert got == {2: "S", 4: None, 5: "S", 7: None, 9: None}
 
 
+def test_last_touch_of_a_hot_null_visitor(spark):
+    """A third of all events has no visitor, most of them within one tolerance."""
+    rnd = random.Random(21)
+    data = []
+    for i in range(900):
+        u = None if i % 3 == 0 else f"u{rnd.randrange(80)}"
+        ms = rnd.randrange(0, 4_000) if u is None else rnd.randrange(0, 40_000_000, 997)
+        tgt = rnd.random() < 0.3
+        data.append((u, ms, i, tgt, None if tgt else rnd.choice(["S1", "S2"]), None if tgt else rnd.choice([None, "L1"])))
+    df = spark.createDataFrame(data, "u string, ms bigint, id int, tgt boolean, src string, lst string")
+    out = last_touch(df, "u", F.col("ms"), F.col("tgt"), ~F.col("tgt"), ["src", "lst"], 3_600_000,
+                     tie_break=[F.col("src"), F.col("lst")], chunks=16)
+    got = {r["id"]: (None if r["touch"] is None else (r["touch"]["src"], r["touch"]["lst"])) for r in out.collect()}
+    assert got == _touch_brute(data, 3_600_000)
+    text = final_plan(out)
+    assert "Generate" not in text and text.count("Scan") == 1 and "ReusedExchange" in text
+    sizes = [r["count"] for r in chunked(df, ["u", "ms", "id"], 9).groupBy(CHUNK).count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 # ------------------------------------------------------------------ funnel
 LITERAL_FUNNEL = """
 WITH fe AS (SELECT g, u, CASE e WHEN 'a' THEN 1 WHEN 'b' THEN 2 WHEN 'c' THEN 3 END AS lvl
@@ -186,8 +255,10 @@ def test_active_mapping_filters_and_validates(spark):
                                 "variable_name string, value1 string, value2 string, value3 string")
     assert rows(active_mapping(cfg, "m")) == [("e1", "S1")]
     dup = cfg.union(spark.createDataFrame([("m", "e1", "S9", "TRUE")], cfg.schema))
-    with pytest.raises(ValueError):
-        active_mapping(dup, "m")
+    twice = active_mapping(dup, "m")            # building the plan runs nothing
+    with pytest.raises(Exception, match="maps more than once: e1"):
+        twice.collect()
+    assert active_mapping(dup, "m", validate=False).count() == 2
 
 
 def test_lookup_flag_and_bounded_broadcast(spark):
@@ -197,8 +268,37 @@ def test_lookup_flag_and_bounded_broadcast(spark):
                  [("k", "dk")], matched_flag="hit")
     assert rows(out, "k", "name", "hit") == [(1, "one", True), (2, None, False)]
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(50)
-    assert "ResolvedHint" not in small_side(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
+
+
+def test_lookup_spreads_rows_without_a_key(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(i, None if i % 2 else i % 10, "c") for i in range(400)], "id int, k bigint, c string")
+        dim = spark.createDataFrame([(4, "c", "four"), (None, "c", "none")], "dk bigint, dc string, name string")
+        out = lookup(df, dim, [("k", "dk"), ("c", "dc")], matched_flag="hit", spread_by="id")
+        assert out.columns == ["id", "k", "c", "name", "hit"]
+        assert {(r.k, r.name, r.hit) for r in out.collect()} == {
+            (None, None, False), (0, None, False), (2, None, False), (4, "four", True), (6, None, False), (8, None, False)}
+        assert out.count() == 400
+        # the rows without a key do not meet in one task
+        tasks = out.groupBy(F.spark_partition_id(), F.isnull("k")).count().where("`(k IS NULL)`").collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_unique_dimension_inside_the_plan(spark):
+    dim = spark.createDataFrame([(1, "a", 5, None), (1, "a", 7, "x"), (2, "a", None, "y"), (None, "a", 1, "z")],
+                                "id bigint, c string, v int, w string")
+    one = unique_dimension(dim, ["id", "c"])
+    assert one.columns == dim.columns
+    assert rows(one) == sorted([(1, "a", 7, "x"), (2, "a", None, "y")], key=repr)
+    assert rows(unique_dimension(dim.where("v IS NULL OR v <> 5"), ["id", "c"], "error")) == rows(one)
+    repeated = unique_dimension(dim, ["id", "c"], "error")
+    with pytest.raises(Exception, match='found more than once.*"id":1'):
+        repeated.collect()
+    assert rows(unique_dimension(dim.select("id", "c"), ["id", "c"])) == [(1, "a"), (2, "a")]
 
 
 def test_day_bounds_keep_both_day_forms(spark):
