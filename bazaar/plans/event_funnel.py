@@ -46,6 +46,17 @@ def event_funnel(events: DataFrame, p: FunnelParams) -> DataFrame:
                      & (F.col(p.uv_names[0]) > 0))
 
 
+def total_exposures(events: DataFrame, p: ExposureParams = ExposureParams()) -> DataFrame:
+    """Exposures and distinct users per (day, market, language), over one
+    domain and the day range where given."""
+    e = day_window(events, p.days)
+    if p.domain is not None:
+        e = e.where(F.col("domain") == F.lit(p.domain))
+    e = e.select(parse_day("dt").alias("time_date"), market_id().alias("W_ID"),
+                 F.col("eventvariable_language").alias("language"), "visituserid")
+    return exposure_by(e, FUNNEL_KEYS, "visituserid", approx=p.approx_users)
+
+
 def source_exposure(events: DataFrame, config: DataFrame,
                     p: ExposureParams = ExposureParams()) -> DataFrame:
     """Exposures per mapped source and list/title name."""

@@ -1,9 +1,8 @@
 """Spark session defaults for the marts.
 
 The marts never depend on a session setting for their *results*; these
-settings only shape the physical plan (AQE, shuffle sizing, broadcast
-threshold).  On a cluster, keep whatever the cluster already set and fill
-only the gaps.
+settings only shape the physical plan (AQE, split size).  What a cluster, a
+spark-submit or the user has set stays as it is: only gaps are filled.
 """
 
 from __future__ import annotations
@@ -13,13 +12,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Plan-shaping defaults.  Applied only where the session has no value yet.
+# Set only where the session has no value of its own.
 PLAN_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Partial aggregation stays on even when the first batch looks unique:
-    # user-level pre-aggregation (funnel, exposure) reduces a lot later.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
@@ -31,25 +28,31 @@ def build_session(master: str | None = None, app: str = "bazaar",
     """Create (or reuse) a session with the plan defaults.
 
     ``master`` is only for local runs and tests; on a cluster leave it None
-    so spark-submit decides.
+    so spark-submit decides.  Values given here as arguments are set in any
+    case, the defaults only where nothing is set yet.
     """
-    b = SparkSession.builder.appName(app)
+    found = SparkSession.getActiveSession()
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    conf = dict(PLAN_DEFAULTS)
-    conf["spark.ui.enabled"] = "false"
+    given = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in given.items():
+        b = b.config(k, v)
+    spark = b.getOrCreate()
+    gaps = dict(PLAN_DEFAULTS)
     if master and master.startswith("local"):
         # Local runs: shuffle partitions = cores already; merging them would
         # leave cores idle in CPU-bound stages on small inputs.  (A
         # cluster keeps its own coalescing settings.)
-        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+        gaps["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    own = spark._jsparkSession.sessionState().conf()
+    for k, v in gaps.items():
+        if not own.contains(k) and not spark.sparkContext.getConf().contains(k):
+            spark.conf.set(k, v)
+    if found is None:
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 

@@ -15,6 +15,11 @@ Mapping in short:
   app events  <- events + customer + nation
   revenues    <- lineitem + supplier + nation; deliverers <- supplier; areas <- nation
   card fees   <- distinct (nation, segment) of customer
+
+The ``edge_*`` inputs are the same rows with the cases that real data has and
+the plain ones lack: missing users and statuses, orders under two countries,
+other ledger types, ticket keys that only look like an order's, days in two
+forms.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import REVENUE_CAST_LAYER
 from ..functions.columns import epoch_millis
 from .tables import Tables
 
@@ -249,3 +255,61 @@ def card_fees(t: Tables) -> DataFrame:
                      .otherwise(F.concat(F.lit("0.0"), (F.col("n_regionkey") + 1).cast("string")))
                      .alias("cardfee"))
             .distinct())
+
+
+# ------------------------------------------------------------ edge inputs
+def edge_orders(t: Tables) -> DataFrame:
+    """Every 7th order has no user, every 11th no status."""
+    key = F.col("order_id")
+    return group_orders(t).withColumns({"user_id": F.when(key % 7 != 0, F.col("user_id")),
+                                        "status": F.when(key % 11 != 0, F.col("status"))})
+
+
+def edge_settlement(t: Tables) -> DataFrame:
+    """Line 3 is booked in another country, line 6 of another type, and the
+    JSON of line 2 names its commission twice and has fractions of a cent."""
+    line = F.col("status")  # the line number
+    twice = F.regexp_replace("metadata", '"commission":', '"commission":"0.0000125","commission":')
+    return settlement(t).withColumns({
+        "country": F.when(line == 3, F.lit("NATION_7")).otherwise(F.col("country")),
+        "order_type": F.when(line == 6, F.lit("DELIVERY")).otherwise(F.col("order_type")),
+        "metadata": F.when(line == 2, twice).otherwise(F.col("metadata"))})
+
+
+def edge_tickets(t: Tables) -> DataFrame:
+    """Further tickets whose keys are the number of an order, but not its text."""
+    return tickets(t).unionByName(tickets(t).withColumn("order_id", F.concat(F.lit("00"), "order_id")))
+
+
+def edge_events(t: Tables) -> DataFrame:
+    """Even days are dashed, and every event name comes in two."""
+    day = F.col("dt")
+    second = F.pmod(F.substring("time", -1, 1).cast("int"), F.lit(2))
+    dashed = F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
+    return app_events(t).withColumns({
+        "dt": F.when(F.substring(day, 7, 2).cast("int") % 2 == 0, dashed).otherwise(day),
+        "eventname": F.concat("eventname", second.cast("string"))})
+
+
+def revenue_texts(dialect: str) -> dict[str, str]:
+    """SQL text of every typed column of the revenue record, as text: numbers,
+    times, NULLs and text that is none, from the key, customer and day of an
+    order.  ``dialect``: "spark" or "duckdb"."""
+    text = "STRING" if dialect == "spark" else "VARCHAR"
+    when = "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')" if dialect == "spark" else \
+        "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
+    out = {}
+    for kind, names in REVENUE_CAST_LAYER.items():
+        for j, name in enumerate(names, 2):
+            number = f"CAST(o_custkey % {j + 5} - {j % 3} AS {text})"
+            good = {"string": f"concat('{name} ', CAST(o_custkey AS {text}))", "bigint": number,
+                    "double": f"concat({number}, '.', CAST(o_orderkey % 100 AS {text}))",
+                    "decimal(34,6)": f"concat({number}, '.000', CAST(o_orderkey % 10000 AS {text}))",
+                    "timestamp_ntz": when, "int": f"CAST(year(o_orderdate) * 100 + month(o_orderdate) AS {text})"}[kind]
+            out[name] = (f"CASE (o_orderkey + {j}) % 9 WHEN 0 THEN NULL WHEN 1 THEN 'bad' WHEN 2 THEN '' ELSE {good} END")
+    return out
+
+
+def full_revenues(t: Tables) -> DataFrame:
+    """The whole revenue record (119 columns of text) for every order."""
+    return t.orders.select(*[F.expr(e).alias(c) for c, e in revenue_texts("spark").items()])

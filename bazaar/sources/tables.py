@@ -1,10 +1,7 @@
-"""Table access: read a table by name, check the columns a mart needs."""
+"""Table access: read a table by name."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -12,32 +9,18 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
+def is_path(ref: str) -> bool:
+    """Whether ``ref`` is a path (it has a slash) and not a catalog name; the
+    driver's own disk is not asked."""
+    return "/" in ref
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A table stored as ``{base}/{name}.parquet`` (file or folder) or, when
-    ``base`` is a catalog database, ``base.name``.
-
-    ``spread``: a scan that yields fewer input partitions than the session's
-    parallelism (e.g. one small file with a single row group) is
-    round-robin repartitioned so per-row work uses every core.  Large tables
-    already split into many partitions and are left untouched.
-    """
-    path = os.path.join(base, f"{name}.parquet")
-    if "://" in base or os.path.exists(path):
-        df = spark.read.parquet(path)
-    else:
-        df = spark.table(f"{base}.{name}")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
-
-
-def require_columns(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"{what} lacks columns {missing}")
-    return df
+    ``base`` is a catalog database, ``base.name``."""
+    if is_path(base):
+        return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return spark.table(f"{base}.{name}")
 
 
 class Tables:

@@ -406,3 +406,45 @@ def test_order_mart_range_pruning_is_exact(spark, order_inputs, days):
     full = order_mart(*order_inputs, OrderMartParams(days=days, prune_to_range=False))
     key = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert key(pruned) == key(full) and len(key(full)) > 0
+
+
+def test_cast_layer_types_all_columns(spark):
+    """The whole record: 119 columns, among them ``desc`` and ``at``, each with its type."""
+    from bazaar.functions.casts import REVENUE_CAST_LAYER, apply_cast_layer
+    names = [c for cs in REVENUE_CAST_LAYER.values() for c in cs]
+    assert len(names) == len(set(names)) == 119 and {"desc", "at"} <= set(names)
+    good = {"string": "a", "bigint": "12", "double": "1.5", "timestamp_ntz": "2025-11-20 01:02:03", "decimal(34,6)": "0.1234565",
+            "int": "202511"}
+    kind = {c: t for t, cs in REVENUE_CAST_LAYER.items() for c in cs}
+    df = spark.createDataFrame([tuple(good[kind[c]] for c in names), tuple("bad" for c in names), tuple(None for c in names)],
+                               ", ".join(f"`{c}` string" for c in names))
+    out = apply_cast_layer(df, REVENUE_CAST_LAYER, strict=True)
+    assert {f.name: f.dataType.simpleString() for f in out.schema} == kind
+    a, b, c = out.collect()
+    assert str(a["rcr"]) == "0.123457" and a["desc"] == "a" and a["at"] == 1.5 and a["month"] == 202511
+    assert b["rcr"] is None and b["at"] is None and b["created_at_local"] is None and b["desc"] == "bad"
+    assert all(v is None for v in c)
+    with pytest.raises(ValueError, match="missing columns"):
+        apply_cast_layer(df.drop("at"), REVENUE_CAST_LAYER, strict=True)
+
+
+def test_adjustment_survives_repeated_and_null_deliverers(spark):
+    """A deliverer and an area found twice leave one row a revenue; rows without a deliverer are kept."""
+    rv = spark.createDataFrame([_rev("a", did="1"), _rev("b", did=None), _rev("c", did="9")], REVENUE)
+    deliverers = spark.createDataFrame([(1, "CA", 70), (1, "CA", 71)], "id bigint, country string, m_area_id bigint")
+    areas = spark.createDataFrame([(1, "CA", 7), (1, "CA", 7)], "id bigint, country string, wechat_id bigint")
+    cfg = config_frame(spark)
+    out = {r["id"]: r["DR_id"] for r in revenue_adjustment(rv, deliverers, areas, cfg).collect()}
+    assert sorted(out) == ["a", "b", "c"] and out["a"] == "CAA71" and out["b"] == out["c"] == "CAAW7"
+    strict = revenue_adjustment(rv, deliverers, areas, cfg, AdjustmentParams(on_repeated_key="error"))
+    with pytest.raises(Exception, match="found more than once"):
+        strict.collect()
+
+
+def test_adjustment_ties_do_not_depend_on_the_plan(spark):
+    """Versions of one time: the same one is kept however rows are dealt."""
+    rv = spark.createDataFrame([_rev("a", desc=f"d{i}") for i in range(40)], REVENUE)
+    none = spark.createDataFrame([], "id bigint, country string, m_area_id bigint")
+    areas = spark.createDataFrame([], "id bigint, country string, wechat_id bigint")
+    kept = {revenue_adjustment(rv.repartition(n), none, areas, config_frame(spark)).first()["desc_info"] for n in (1, 3, 7)}
+    assert kept == {"d9"}

@@ -13,3 +13,20 @@ def test_checkpoint_dir_in_local_session(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     df = spark.range(10).checkpoint()          # reliable checkpoint works there
     assert df.count() == 10
+
+
+def test_defaults_fill_gaps_only(spark):
+    from bazaar.session import PLAN_DEFAULTS, build_session
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    try:
+        same = build_session()
+        assert same.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert same.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
+        assert same.conf.get("spark.sql.files.maxPartitionBytes") == PLAN_DEFAULTS["spark.sql.files.maxPartitionBytes"]
+        assert build_session(extra={"spark.sql.session.timeZone": "UTC"}).conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
