@@ -62,18 +62,11 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """``df`` itself if every reading of it gives the same rows in the same
-    order (a plain scan, projected or filtered); else written first."""
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    nodes = {m[1] for m in re.finditer(r"^[\s:+\-*()\d]*([A-Z]\w*)", plan, re.M)}
-    return df if nodes <= {"FileScan", "LocalTableScan", "Project", "Filter", "ColumnarToRow"} else keep(df, "input")
-
-
-def row_id(df: DataFrame, name: str) -> DataFrame:
-    """A key per row of a ``stable`` frame: the same in every reading; also
-    tells apart repeated rows and rows with a null or repeated id."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number per row, written once and read from there: the
+    same in every later reading, whatever executors come and go.  Tells apart
+    repeated rows and rows with a null or repeated id."""
+    return keep(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
 def free_name(df: DataFrame, name: str) -> str:

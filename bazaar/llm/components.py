@@ -15,7 +15,7 @@ def _toward_min(edges: DataFrame, upper_only: bool) -> DataFrame:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     else:
         near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    low = keep(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
+    low = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     linked = near.join(low, "u")
     out = linked.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if upper_only else \
         linked.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
@@ -30,11 +30,30 @@ def components(edges: DataFrame) -> DataFrame:
     Self loops, repeated and reversed edges do no harm; no edges, no rows."""
     edges = keep(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .distinct(), "edges")
-    state = None
-    while True:
-        seen = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if seen == state or not seen[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                edges.select(F.col("b"), F.col("b"))).distinct()
-        state = seen
+    while not _stars(edges):
         edges = keep(_toward_min(keep(_toward_min(edges, True), "edges"), False), "edges")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b"))).distinct()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every edge (larger a, lesser b) leads to the end: each a has one
+    b, and no b is an a."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    open_ = ends.groupBy("node").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).filter(
+        "low > 1 OR (low > 0 AND high > 0)")
+    return open_.isEmpty()
+
+
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (node, root) after further ``links`` (a, b): only the roots that
+    the links join are contracted, a graph far smaller than the first.  Nodes
+    that are in no part yet stand for themselves."""
+    named = parts.withColumnRenamed("node", "a").withColumnRenamed("root", "ra")
+    other = parts.withColumnRenamed("node", "b").withColumnRenamed("root", "rb")
+    joined = links.join(named, "a", "left").join(other, "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    roots = components(joined).withColumnRenamed("root", "new").withColumnRenamed("node", "root")
+    alone = roots.join(parts.select(F.col("node").alias("root")), "root", "left_anti")
+    return (parts.join(roots, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+            .union(alone.select(F.col("root").alias("node"), F.col("new").alias("root"))))

@@ -90,16 +90,16 @@ def copies(df: DataFrame, row: str, id_column: str = "doc_id", source: str = "so
 
 def mix_sources(df: DataFrame, id_column: str = "doc_id", source: str = "source", column: str = "text") -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it."""
-    df = C.stable(df)
     row, n = C.free_name(df, "mix_row"), C.free_name(df, "mix_copies")
-    keyed = C.row_id(df, row)
-    taken = C.keep(copies(keyed, row, id_column, source, column).filter("copies > 0")
-                   .select(F.col("row").alias(row), F.col("copies").alias(n)), "copies")
+    keyed = C.numbered(df, row)
+    taken = (copies(keyed, row, id_column, source, column).filter("copies > 0")
+             .select(F.col("row").alias(row), F.col("copies").alias(n)))
     return (keyed.join(taken, row).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
             .select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.row_id(C.read(spark, sf_dir, "documents"), "mix_row")
+    # ``copies`` reads the documents once, for a table of sizes that has the row numbers
+    docs = C.read(spark, sf_dir, "documents").withColumn("mix_row", F.monotonically_increasing_id())
     return copies(docs, "mix_row").select(F.col("id").alias("doc_id"), "size", "source_size", "target",
                                           (F.col("copies") * F.col("size")).alias("taken"))

@@ -14,11 +14,16 @@ Classes are the connected components of the links.
 Scale: equal word sequences collapse first, so a group of exact copies is
 one vertex.  A bucket (texts with one sketch in common) is not paired up:
 every member is compared with the bucket's hub, the member whose sketches
-are the most common, and components are taken.  Then members of different
-components of one bucket are compared, where their lengths and the shingles
-each has to itself leave room for 0.8 (``_cross``): many loose variants of
-one text do not meet each other.  No link between two classes is lost, since
-a pair left out lies within one class or below 0.8.  A sketch pair of similarity 0.8 shares each of 12 sketches with
+are the most common, and components are taken.  Members of one bucket that
+are still in different components are compared where they can reach 0.8 at
+all: a text of x shingles needs 0.8 x of them in other texts too.  What is
+left of a bucket is dealt into blocks of bounded size; texts outside the
+bucket's largest component meet the others block by block, by counts of the
+shingles they share (``_open_links``), and only a link that joins two
+components leaves a task.  So loose variants of one text, which are close to
+each other and still no near copies, make no pairs; what they cost is the
+comparison of block with block.  No link between two classes is
+lost.  A sketch pair of similarity 0.8 shares each of 12 sketches with
 probability 0.64: it is missed by all about 5 times in a million.
 
 Cases: texts of 1 to K - 1 words have no shingles and match only equal word
@@ -38,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from .components import components
+from .components import components, merged
 
 K = 5
 SIMILARITY = 0.8
@@ -207,111 +212,164 @@ def _own_shingles(words: DataFrame) -> DataFrame:
     def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in C._pieces(whole, "words", PIECE):
-                lists = [np.frombuffer(x.as_py(), np.uint32) for x in batch.column("words")]
-                text = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                name, text = shingles(C.mix(np.concatenate(lists).astype(C.U64)), text)
                 rows = np.asarray(batch.column("row"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[text]), pa.array(labelled(name, text).view(np.int64))], names=["row", "name"])
+                name, text = _labelled_texts(batch.column("words"))
+                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(name.view(np.int64))], names=["row", "name"])
 
     return (words.mapInArrow(names, "row long, name long").groupBy("name")
             .agg(F.count("*").alias("texts"), F.min("row").alias("row")).filter("texts = 1")
             .groupBy("row").agg(F.count("*").alias("own")))
 
 
-BIN = float(np.log(1.02))
-
-
-def _bin(size):
-    return F.floor(F.log(size) / BIN).cast("int")
-
-
-def _cross(open_rows: DataFrame, own: DataFrame) -> DataFrame:
-    """Pairs (a < b) of one bucket and of different components that may reach
-    the similarity.  Two texts of x and y shingles share ``both`` = the lesser
-    of x - own and y - own at most, and need both >= s (x + y) / (1 + s): so
-    y <= (1 + s) / s (x - own) - x for either.  A text with many shingles of
-    its own needs a much shorter partner; partners meet by length class."""
-    s = SIMILARITY
+def _labelled_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(name, text index) of the labelled shingles of stored word sequences."""
+    lists = [np.frombuffer(x.as_py(), np.uint32) for x in column]
+    text = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    words = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
+    name, text = shingles(C.mix(words.astype(C.U64)), text)
+    return labelled(name, text), text
+
+
+def _block_links(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, int]]:
+    """Links (row, row) between texts of ``left`` and ``right`` (row, root, main,
+    words) of different roots, no more than join the roots.  A pair whose right
+    text is outside the main component as well is left to the block in which
+    its lesser row stands on the left."""
+    rows, roots, words = [], [], []
+    for t in (left, right):
+        rows.append(np.asarray(t.column("row"), np.int64))
+        roots.append(np.asarray(t.column("root"), np.int64))
+        words.append(t.column("words").combine_chunks())
+    main = np.asarray(right.column("main"), np.int64)
+    name, text = _labelled_texts(pa.concat_arrays(words))
+    many = len(rows[0])
+    order = np.unique(name, return_inverse=True)[1]
+    size = np.bincount(text, minlength=many + len(rows[1]))
+    first = np.concatenate([[0], np.cumsum(size)])
+    right_names, right_text = order[first[many]:], text[first[many]:] - many
+    parent = {r: r for r in {*roots[0].tolist(), *roots[1].tolist()}}
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    here = np.zeros(len(order) + 1, bool)
+    sequences = {}
+
+    def sequence(side, i):
+        if (side, i) not in sequences:
+            w = C.mix(np.frombuffer(words[side][i].as_py(), np.uint32).astype(C.U64))
+            sequences[side, i] = shingles(w, np.zeros(len(w), np.int64))[0]
+        return sequences[side, i]
+
+    for i in range(many):
+        mine = order[first[i]:first[i + 1]]
+        here[mine] = True
+        both = np.bincount(right_text[here[right_names]], minlength=len(rows[1]))
+        here[mine] = False
+        total = size[i] + size[many:]
+        fits = ((both >= np.ceil(SIMILARITY * total / (1 + SIMILARITY) - 1e-9)) & (roots[1] != roots[0][i])
+                & ((roots[1] == main) | (rows[0][i] < rows[1])))
+        for j in np.flatnonzero(fits).tolist():
+            a, b = top(int(roots[0][i])), top(int(roots[1][j]))
+            if a != b and similar(sequence(0, i), sequence(1, j)):
+                parent[a] = b
+                yield int(rows[0][i]), int(rows[1][j])
+
+
+def _open_links(placed: DataFrame, words: DataFrame, block: int = PIECE) -> DataFrame:
+    """Links (a, b) between members (sketch, row, n, root) of one bucket and
+    of different components, enough to join what belongs together."""
     size = F.col("n") - (K - 1)
-    sized = C.keep(
-        open_rows.join(own, "row", "left").select("sketch", "main", "row", "root", size.alias("x"),
-                                                  F.least(F.floor((1 + s) / s * (size - F.coalesce("own", F.lit(0)))
-                                                                  - size + 1e-6),
-                                                          F.floor(size / s + 1e-6)).alias("most"))
-        .filter(F.col("most") >= F.ceil(s * F.col("x") - 1e-6)), "sized")
-    left = sized.filter("root != main").select(
-        "sketch", F.col("row").alias("a"), F.col("root").alias("ar"), F.col("x").alias("ax"), F.col("most").alias("am"),
-        F.explode(F.sequence(_bin(F.greatest(F.ceil(s * F.col("x") - 1e-6), F.lit(1))), _bin(F.col("most")))).alias("bin"))
-    right = sized.select("sketch", "main", F.col("row").alias("b"), F.col("root").alias("br"), F.col("x").alias("bx"),
-                         F.col("most").alias("bm"), _bin(F.col("x")).alias("bin"))
-    return (left.join(right, ["sketch", "bin"])
-            .filter((F.col("ar") != F.col("br")) & ((F.col("br") == F.col("main")) | (F.col("a") < F.col("b")))
-                    & (F.col("bx") <= F.col("am")) & (F.col("ax") <= F.col("bm")))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    own = _own_shingles(words.join(placed.select("row").distinct(), "row", "left_semi"))
+    live = C.keep(placed.join(own, "row", "left")
+                  .filter(size - F.coalesce("own", F.lit(0)) >= F.ceil(SIMILARITY * size - 1e-6))
+                  .select("sketch", "row", "n", "root"), "live")
+    per_root = live.groupBy("sketch", "root").agg(F.sum("n").alias("size"))
+    buckets = (per_root.groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"), F.sum("size").alias("size"),
+                                              F.count("*").alias("roots")).filter("roots > 1")
+               .select("sketch", F.col("top.root").alias("main"),
+                       F.ceil(4 * F.col("size") / block).cast("int").alias("rights"),
+                       F.ceil(4 * (F.col("size") - F.col("top.size")) / block).cast("int").alias("lefts")))
+    dealt = live.join(buckets, "sketch").join(words, "row")
+
+    def to(own_blocks, other_blocks, own_name, other_name):
+        return dealt.withColumns({own_name: F.pmod(F.xxhash64("row"), F.col(own_blocks)).cast("int"),
+                                  other_name: F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1))}).select(
+                                      *[F.col(c).alias(c) for c in ("sketch", "l", "r", "row", "root", "main", "words")])
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = list(_block_links(left, right)) if len(left) and len(right) else []
+        C.release()
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    left = to("lefts", "rights", "l", "r").filter("root != main")
+    right = to("rights", "lefts", "r", "l")
+    return left.groupBy("sketch", "l", "r").cogroup(right.groupBy("sketch", "l", "r")).applyInArrow(compare, "a long, b long")
 
 
 def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
     """(row, root) for every row of ``df`` whose text has words: ``root`` is
     the least ``row`` value of its class of near duplicates.  ``row``: a
-    column that is different and not null in every row."""
+    column that is different and not null in every row and the same in every
+    reading of ``df``."""
     signed = C.keep(signatures(df, row, column).filter("n > 0"), "signatures")
     key = ["a", "b", "n"]
     groups = C.keep(signed.groupBy(*key).agg(F.min("row").alias("first"), F.first("sketch").alias("sketch")), "texts")
     # Members of every bucket that has two, with the bucket's size.
     sampled = groups.select(F.col("first").alias("row"), "n", F.explode(F.array_distinct("sketch")).alias("sketch"))
-    sizes = C.keep(sampled.groupBy("sketch").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
+    sizes = sampled.groupBy("sketch").agg(F.count("*").alias("members")).filter("members > 1")
     members = C.keep(sampled.join(sizes, "sketch"), "members")
-    typical = C.keep(members.groupBy("row").agg(F.sum("members").alias("common")), "typical")
-    ranked = members.join(typical, "row").select("sketch", "row", "n", "common")
-    hubs = C.keep(ranked.groupBy("sketch").agg(F.max(F.struct("common", -F.col("row"), "n")).alias("hub"))
-                  .select("sketch", (-F.col("hub.col2")).alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
-    tested = C.keep(members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
-                    .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(), "pairs")
-    needed = typical.select("row")
-    words = C.keep(_word_table(df.join(needed.withColumnRenamed("row", row), row, "left_semi"), row, column), "words")
+    typical = members.groupBy("row").agg(F.sum("members").alias("common"))
+    hubs = (members.join(typical, "row").groupBy("sketch").agg(F.max(F.struct("common", -F.col("row"), "n")).alias("hub"))
+            .select("sketch", (-F.col("hub.col2")).alias("hub"), F.col("hub.n").alias("hub_n")))
+    tested = (members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
+              .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct())
+    needed = members.select(F.col("row").alias(row)).distinct()
+    words = C.keep(_word_table(df.join(needed, row, "left_semi"), row, column), "words")
     links = C.keep(_verified(tested, words), "links")
-    # Pairs of one bucket that the links so far leave in different components.
-    part = C.keep(components(links), "parts")
-    placed = C.keep(members.join(part.withColumnRenamed("node", "row"), "row", "left")
-                    .select("sketch", "row", "n", F.coalesce("root", "row").alias("root")), "placed")
-    per_root = placed.groupBy("sketch", "root").agg(F.count("*").alias("size"))
-    mixed = C.keep(per_root.groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"),
-                                                  F.count("*").alias("roots"))
-                   .filter("roots > 1").select("sketch", F.col("top.root").alias("main")), "mixed")
-    open_rows = C.keep(placed.join(mixed, "sketch"), "open")
-    cross = _cross(open_rows, _own_shingles(words.join(open_rows.select("row").distinct(), "row", "left_semi"))).join(
-        tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.union(_verified(C.keep(cross, "cross"), words))
+    # Buckets whose members the links so far leave in different components.
     part = C.keep(components(links), "parts")
-    named = C.keep(groups.select(*key, "first").join(part.withColumnRenamed("node", "first"), "first", "left")
-                   .select(*key, F.coalesce("root", "first").alias("root")), "classes")
+    placed = members.join(part.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    mixed = placed.groupBy("sketch").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    left_open = C.keep(placed.join(mixed.select("sketch"), "sketch", "left_semi").select("sketch", "row", "n", "root"), "open")
+    part = C.keep(merged(part, _open_links(left_open, words)), "parts")
+    named = groups.select(*key, "first").join(part.withColumnRenamed("node", "first"), "first", "left").select(
+        *key, F.coalesce("root", "first").alias("root"))
     return signed.select("row", *key).join(named, key).select(F.col("row").alias(row), "root")
 
 
-def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """Per row of ``df``: its id, ``class_id`` (the least id of its class; its
-    own if it is alone), ``class_size`` and ``kept`` (one row a class)."""
-    row = "row"
-    narrow = C.row_id(C.stable(df).select(F.col(id_column).alias("id"), F.col(column).alias("text")), row)
-    found = C.keep(classes(narrow, row, "text"), "rows")
-    ids = C.keep(narrow.select(row, "id").join(found, row, "left")
-                 .select(row, "id", F.coalesce("root", row).alias("root")), "ids")
-    best = C.keep(ids.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", row)).alias("best"),
-                                          F.count("*").alias("class_size")).filter("class_size > 1"), "best")
+def _named(rows: DataFrame, id_column: str) -> DataFrame:
+    """Per row of ``rows`` (row, id, text; as written): the columns of
+    ``near_duplicates`` and ``row``."""
+    ids = C.keep(rows.select("row", "id").join(classes(rows, "row", "text"), "row", "left")
+                 .select("row", "id", F.coalesce("root", "row").alias("root")), "ids")
+    best = (ids.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best"),
+                                    F.count("*").alias("class_size")).filter("class_size > 1"))
     one = F.col("class_size").isNull()
     return ids.join(best, "root", "left").select(
         F.col("id").alias(id_column), F.when(one, F.col("id")).otherwise(F.col("best.id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-        (one | (F.col("best.row") == F.col(row))).alias("kept"), F.col(row))
+        (one | (F.col("best.row") == F.col("row"))).alias("kept"), F.col("row"))
+
+
+def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+    """Per row of ``df``: its id, ``class_id`` (the least id of its class; its
+    own if it is alone), ``class_size`` and ``kept`` (one row a class)."""
+    narrow = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
+    return _named(C.numbered(narrow, "row"), id_column).drop("row")
 
 
 def near_dedup(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
     """``df`` with one row of each class: the one of the least id."""
-    row, df = C.free_name(df, "near_row"), C.stable(df)
-    dropped = C.keep(near_duplicates(df, id_column, column).filter("not kept").select(F.col("row").alias(row)), "dropped")
-    return C.row_id(df, row).join(dropped, row, "left_anti").drop(row)
+    row = C.free_name(df, "near_row")
+    keyed = C.numbered(df, row)
+    narrow = keyed.select(F.col(row).alias("row"), F.col(id_column).alias("id"), F.col(column).alias("text"))
+    dropped = _named(narrow, "id").filter("not kept").select(F.col("row").alias(row))
+    return keyed.join(dropped, row, "left_anti").drop(row)
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(C.read(spark, sf_dir, "documents")).drop("row")
+    return near_duplicates(C.read(spark, sf_dir, "documents"))
