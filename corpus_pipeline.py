@@ -28,8 +28,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup(docs)
 
 
+#: Bytes of a passage that count as repeated.  A passage of 50 words has 285
+#: bytes or more in European prose (6 a word with its space, short words
+#: included); 250 leaves room for a shorter wording.
+PASSAGE = 250
+
+
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup(docs)
+    return suffix_dedup(docs, length=PASSAGE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
