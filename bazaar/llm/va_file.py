@@ -1,7 +1,7 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-A component x counts as floor(64 x).  A shard's approximation file holds, for
-every vector, the cell (of ``CELLS`` equal ones per dimension) each component
+A component x counts as floor(64 x).  A shard's approximation file, built and
+written once with the shard, holds, for every vector, the cell (of ``CELLS`` equal ones per dimension) each component
 lies in.  A scan of the cells bounds every score from both sides; vectors
 whose upper bound is below the k-th best lower bound are never read.  The
 others are read exactly in the order of their bounds, a few at a time, until
@@ -14,29 +14,36 @@ zero vectors take part; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from .vectors import found, opened, pairs, usable
+from .vectors import Shard, blocks, ranked, search, shards, usable
 
 K = 20
 SCALE = 64.0
 CELLS = 16
 SHARD = 4096
-QUERIES = 512
+QUERIES = 2048
+STRIP = 128
 
 
 class VAFile:
-    def __init__(self, x: np.ndarray, cells: int = CELLS):
-        self.x = x
-        self.low = x.min(0)
-        self.width = np.maximum((x.max(0) - self.low + 1) / cells, 1e-12)
-        self.cell = np.minimum((x - self.low) // self.width, cells - 1).astype(np.uint8)
+    """Cells of the rows of ``x`` (as written: a byte each, after the least
+    value and the width of every dimension)."""
+
+    def __init__(self, x: np.ndarray, file: bytes):
+        self.x, dim = x, x.shape[1]
+        self.low, self.width = np.frombuffer(file, np.float64, 2 * dim).reshape(2, dim)
+        self.cell = np.frombuffer(file, np.uint8, offset=16 * dim).reshape(x.shape)
+
+    @staticmethod
+    def build(x: np.ndarray, cells: int = CELLS) -> bytes:
+        low = x.min(0)
+        width = np.maximum((x.max(0) - low + 1) / cells, 1e-12)
+        cell = np.minimum((x - low) // width, cells - 1).astype(np.uint8)
+        return low.tobytes() + width.tobytes() + cell.tobytes()
 
     def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lower, upper) of every query's score with every vector, from cells alone."""
@@ -75,21 +82,16 @@ class VAFile:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score): ``vectors`` and ``queries`` as (vec_id, vec)."""
+    """(query_id, rank, vec_id, score): ``vectors`` as from ``usable``, ``queries`` some of them."""
 
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, x, q_ids, q in opened(batch):
-                place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
-                own = np.where(ids[place] == q_ids, place, -1)
-                at, score = VAFile(np.floor(SCALE * x)).top(np.floor(SCALE * q), own, min(k, len(ids)))
-                yield found(q_ids, ids[at], np.where(at >= 0, score, 0), at >= 0, pa.int64())
+    def best(s: Shard) -> tuple[np.ndarray, np.ndarray]:
+        file, q = VAFile(np.floor(SCALE * s.x), s.index), np.floor(SCALE * s.q)
+        parts = [file.top(q[i:i + STRIP], s.own[i:i + STRIP], min(k, len(s.x))) for i in range(0, len(q), STRIP)]
+        place, score = (np.concatenate(p) for p in zip(*parts))
+        return place, np.where(place >= 0, score, 0)
 
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (pairs(vectors, queries, shard, block).select("ids", "vecs", "q_ids", "q_vecs")
-            .mapInArrow(search, "query_id long, vec_id long, score long")
-            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    coded = shards(vectors, shard, lambda x: VAFile.build(np.floor(SCALE * x)))
+    return ranked(search(coded, blocks(queries, block), best, "long"), queries, F.col("score").desc(), k)
 
 
 def op4_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,17 +101,17 @@ def op4_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
     FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    SELECT q.row AS query, q.vec_id AS query_id, c.vec_id AS vec_id,
            CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)
-    WHERE q.vec_id % 20 = 0),
-r AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-    FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    FROM v q JOIN v c ON q.row <> c.row AND len(q.vec) = len(c.vec)
+    WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 20
 """

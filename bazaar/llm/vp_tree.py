@@ -5,7 +5,8 @@ goes inside, the rest outside.  With r the k-th best distance so far, a query
 at distance d from the vantage point leaves out the outside if d + r < median
 and the inside if d - r > median.  The search relaxes this by a ``factor``: r
 / factor takes the place of r.  Factor 1 is the exact search; a larger one
-prunes more and may miss.  Shards' results are merged by one top-k a query.
+prunes more and may miss.  A shard's tree is built and written once, with the
+shard.  Shards' results are merged by one top-k a query.
 
 Cases: see ``vectors``; zero vectors take no part; a query with fewer
 candidates than k gets all that are found; ties go to the smaller id; an
@@ -14,30 +15,29 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import pickle
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from .vectors import found, opened, pairs, usable
+from .vectors import Shard, blocks, ranked, search, shards, usable
 
 K = 10
 FACTOR = 6.0
 LEAF = 64
 SHARD = 2048
-QUERIES = 512
+QUERIES = 2048
 
 
 class VPTree:
-    """Over rows ``x`` with ascending ``ids``."""
+    """Over the rows of ``x``; ``root``: the nodes, where they are built already."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: int = LEAF):
-        self.ids, self.x, self.leaf = ids, x, leaf
+    def __init__(self, x: np.ndarray, root=None, leaf: int = LEAF):
+        self.x, self.leaf = x, leaf
         self.square = np.einsum("ij,ij->i", x, x)
-        self.root = self._build(np.arange(len(x)))
+        self.root = self._build(np.arange(len(x))) if root is None else root
 
     def _build(self, at: np.ndarray):
         if len(at) <= self.leaf:
@@ -53,9 +53,10 @@ class VPTree:
             low, high = float(d[~near].min()), median
         return point, low, high, self._build(rest[near]), self._build(rest[~near])
 
-    def search(self, ids: np.ndarray, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of each query's k nearest found, the query's own id apart."""
-        self.q, self.q_ids, self.factor = q, ids, factor
+    def search(self, own: np.ndarray, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of each query's k nearest found but its ``own``
+        place; ties go to the lesser place."""
+        self.q, self.own, self.factor = q, own, factor
         self.q_square = np.einsum("ij,ij->i", q, q)
         self.best = np.full((len(q), k), np.iinfo(np.int64).max)
         self.dist = np.full((len(q), k), np.inf)
@@ -67,14 +68,14 @@ class VPTree:
         reach = self.dist[rows, -1] ** 2
         square = self.q_square[rows][:, None] + self.square[at] - 2 * (self.q[rows] @ self.x[at].T)
         slack = 1e-9 * (self.q_square[rows][:, None] + self.square[at])
-        near = (square <= reach[:, None] + slack) & (self.ids[at] != self.q_ids[rows][:, None])
+        near = (square <= reach[:, None] + slack) & (at != self.own[rows][:, None])
         some = near.any(1)
         rows, near = rows[some], near[some]
         i, j = np.nonzero(near)
         exact = np.full(near.shape, np.inf)
         exact[i, j] = np.sqrt(((self.q[rows[i]] - self.x[at[j]]) ** 2).sum(1))
         d = np.hstack([self.dist[rows], exact])
-        p = np.hstack([self.best[rows], np.broadcast_to(self.ids[at], near.shape)])
+        p = np.hstack([self.best[rows], np.broadcast_to(at, near.shape)])
         take = np.lexsort((p, d), axis=1)[:, :self.dist.shape[1]]
         self.dist[rows], self.best[rows] = np.take_along_axis(d, take, 1), np.take_along_axis(p, take, 1)
 
@@ -99,19 +100,14 @@ class VPTree:
 
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR, shard: int = SHARD,
                block: int = QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score): ``vectors`` and ``queries`` as (vec_id, vec)."""
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, x, q_ids, q in opened(batch):
-                best, dist = VPTree(ids, x).search(q_ids, q, k, factor)
-                yield found(q_ids, best, dist, np.isfinite(dist), pa.float64())
-
-    nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (pairs(vectors, queries, shard, block).select("ids", "vecs", "q_ids", "q_vecs")
-            .mapInArrow(search, "query_id long, vec_id long, score double")
-            .withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    """(query_id, rank, vec_id, score): ``vectors`` as from ``usable``, ``queries`` some of them."""
+
+    def nearest(s: Shard) -> tuple[np.ndarray, np.ndarray]:
+        place, dist = VPTree(s.x, pickle.loads(s.index)).search(s.own, s.q, k, factor)
+        return np.where(np.isfinite(dist), place, -1), dist
+
+    coded = shards(vectors, shard, lambda x: pickle.dumps(VPTree(x).root))
+    return ranked(search(coded, blocks(queries, block), nearest, "double"), queries, F.col("score"), k)
 
 
 def op6_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

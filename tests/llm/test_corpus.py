@@ -333,37 +333,68 @@ def embeddings(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=8).round(2).tolist()) for i in range(300)] + [(400 + i, [0.5] * 8) for i in range(40)]
     rows += [(20, None), (500, None), (520, [None] * 8), (540, [float("nan")] * 8), (560, [0.0] * 8), (580, [1.0, 2.0]),
-             (None, [1.0] * 8), (600, []), (0, rows[0][1])]
-    return spark.createDataFrame(rows, "vec_id long, embedding array<float>"), {
-        i: np.float32(v).astype(float) for i, v in rows if i is not None and v and None not in v and not np.isnan(v).any()}
+             (None, [1.0] * 8), (600, []), (0, rows[0][1]), (0, rows[5][1]), (40, rows[7][1]), (1, rows[9][1]), (1, rows[9][1])]
+    live = [(i, np.float32(v).astype(float)) for i, v in rows if v and None not in v and not np.isnan(v).any()]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit(1)), live
+
+
+def nearest_rows(live, every, score, k):
+    """Counter of (query id, rank, id) by brute force over rows; ids of null last."""
+    out, late = [], float("inf")
+    for a, (q, x) in enumerate(live):
+        if q is not None and q % every == 0:
+            s = sorted((score(x, y), late if i is None else i) for b, (i, y) in enumerate(live) if a != b and len(x) == len(y))[:k]
+            out += [(q, r, None if i == late else i, c) for r, (c, i) in enumerate(s, 1)]
+    return out
 
 
 def test_va_file_is_exact(spark):
-    df, have = embeddings(spark)
+    df, live = embeddings(spark)
     v = vectors.usable(df, "vec_id", "embedding")
-    got = sorted(map(tuple, va_file.top_k(v, v.filter("vec_id % 20 = 0"), k=7, shard=50, block=4).collect()))
-    x = {i: np.floor(64 * a).astype(int) for i, a in have.items()}
-    want = []
-    for q in x:
-        if q % 20 == 0:
-            s = sorted((-int(x[q] @ x[i]), i) for i in x if i != q and len(x[i]) == len(x[q]))[:7]
-            want += [(q, r, i, -c) for r, (c, i) in enumerate(s, 1)]
-    assert got == sorted(want)
+    got = Counter(map(tuple, va_file.top_k(v, v.filter("vec_id % 20 = 0"), k=7, shard=50, block=4).collect()))
+    want = nearest_rows([(i, np.floor(64 * x).astype(int)) for i, x in live], 20, lambda x, y: -int(x @ y), 7)
+    assert got == Counter((q, r, i, -c) for q, r, i, c in want)
+    # a vec_id that repeats has all its rows: five under 0, 1 and 40 twice or more
+    small = spark.createDataFrame([(20, [1.0]), (1, [0.5]), (1, [0.25]), (2, [0.1])], "vec_id long, embedding array<double>")
+    v = vectors.usable(small, "vec_id", "embedding")
+    assert [tuple(r)[:3] for r in va_file.top_k(v, v.filter("vec_id = 20")).orderBy("rank").collect()] == [
+        (20, 1, 1), (20, 2, 1), (20, 3, 2)]
     none = v.limit(0)
     assert va_file.top_k(none, none).count() == 0
 
 
+def test_va_file_sql_counts_rows_as_the_query_does(spark):
+    import duckdb
+    df, live = embeddings(spark)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [tuple(r)[:2] for r in df.collect()])
+    want = nearest_rows([(i, np.floor(64 * x).astype(int)) for i, x in live], 20, lambda x, y: -int(x @ y), 20)
+    assert Counter(con.execute(va_file.ORACLE).fetchall()) == Counter((q, r, i, -c) for q, r, i, c in want)
+
+
 def test_vp_tree_is_exact_at_factor_one(spark):
-    df, have = embeddings(spark)
+    df, live = embeddings(spark)
     v = vectors.usable(df, "vec_id", "embedding", zero=False)
-    got = sorted(map(tuple, vp_tree.neighbours(v, v.filter("vec_id % 20 = 0"), k=5, factor=1.0, shard=60, block=4).collect()))
-    want = []
-    for q in (i for i in have if i % 20 == 0 and have[i].any()):
-        s = sorted((float(np.sqrt(((have[q] - have[i]) ** 2).sum())), i) for i in have
-                   if i != q and len(have[i]) == len(have[q]) and have[i].any())[:5]
-        want += [(q, r, i, d) for r, (d, i) in enumerate(s, 1)]
-    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
-    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-12)
+    got = sorted(map(tuple, vp_tree.neighbours(v, v.filter("vec_id % 20 = 0"), k=5, factor=1.0, shard=60, block=4).collect()),
+                 key=repr)
+    want = sorted(nearest_rows([(i, x) for i, x in live if x.any()], 20,
+                               lambda x, y: float(np.sqrt(((x - y) ** 2).sum())), 5), key=repr)
+    assert Counter(g[:3] for g in got) == Counter(w[:3] for w in want)
+    assert np.allclose(sorted(g[3] for g in got), sorted(w[3] for w in want), rtol=1e-12)
+    none = v.limit(0)
+    assert vp_tree.neighbours(none, none).count() == 0
+
+
+def test_search_shuffles_no_vectors(spark):
+    """Shards are written once; the joins with the query blocks are broadcasts of bounded blocks."""
+    df, _ = embeddings(spark)
+    v = vectors.usable(df, "vec_id", "embedding")
+    coded, asked = vectors.shards(v, 50, lambda x: b""), vectors.blocks(v.filter("vec_id % 20 = 0"), 4)
+    pairs = coded.join(F.broadcast(asked.filter("block = 0").drop("block")), "dim")
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert asked.agg(F.max(F.length("q_vecs"))).first()[0] <= 8 * 8 * 16
 
 
 @here
