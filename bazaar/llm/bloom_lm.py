@@ -5,8 +5,11 @@ gathered over all training documents, quantised to steps of sqrt(2), and a
 bigram of level q is stored as q keys (bigram, 1) .. (bigram, q); its count is
 read back by probing level after level until one is missing.  Every training
 bigram is stored, also those seen once: the filter has ``BITS_PER_KEY`` bits a
-key and no largest size.  It lies in segments, one for each bucket of the name
-order, and is probed where a segment is made; it is never in one place.
+key and no largest size.  It is made and written in segments, one for each
+bucket of the name order.  The workers get it by broadcast: whole where it
+fits ``FILTER_BYTES``, else one range of names after the other, each of that
+size at most; a pass scores the tokens whose bigrams lie in its range, and the
+passes' log probabilities add up.
 
     P(w | h) = (q(h w) + MU * P0(w)) / (c(h) + MU)
     P0(w)    = (c(w) + 0.1) / (N + 0.1 (V + 1))
@@ -14,9 +17,12 @@ order, and is probed where a segment is made; it is never in one place.
 q: count read from the filter, c: exact counts.  As q never exceeds the count,
 the sum over w is 1 at most but for false positives of the filter.
 
-Scale: documents are packed into blocks; a block asks the buckets once about
-each distinct word and bigram it holds and gets c and the level back, so no
-word, however frequent, costs a bucket more than one entry a block.
+Scale: documents are packed into blocks; a block tells the buckets once of
+each distinct word and bigram it holds (and asks for c of the words), so no
+word, however frequent, costs a bucket more than one entry a block.  Bigrams
+are not asked for: workers probe the filter.  The number of passes grows with
+the filter, by one for each ``FILTER_BYTES`` (some 45 million keys), so far
+beyond that a larger bound, as workers' memory allows, saves passes.
 
 Cases: a null or empty text is one end token; documents with a null id count
 as training documents; repeated rows count as often as they occur; an empty
@@ -26,6 +32,7 @@ table gives an empty one; without training documents every c is 0.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +43,7 @@ from . import common as C
 
 BITS_PER_KEY = 12
 HASHES = 4
+FILTER_BYTES = 64 << 20
 STEP = 2 ** 0.5
 MU = 4.0
 ALPHA = 0.1
@@ -94,39 +102,47 @@ def quantised(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.floor(STEP ** (level - 1.0) + 1e-6), 0.0)
 
 
-def _place(names: np.ndarray, level: int, i: int, bits: int) -> np.ndarray:
-    """The bit of hash ``i`` for (name, level) within the name's segment."""
+def _place(names: np.ndarray, level: int, i: int, bits: np.ndarray | int) -> np.ndarray:
+    """The bit of hash ``i`` for (name, level) within the name's segment of ``bits`` bits."""
     salt = C.mix(np.array([level * HASHES + i + 1], C.U64))
-    return (C.mix(names + salt) % C.U64(bits)).astype(np.int64)
+    return (C.mix(names + salt) % np.asarray(bits, C.U64)).astype(np.int64)
 
 
 class LogBloom:
-    """Segments of ``bits`` bits, one for each bucket of the name order."""
-
-    def __init__(self, segments: dict[int, bytes], buckets: int, bits: int):
-        self.buckets, self.bits = buckets, bits
-        self.table = np.zeros(buckets * bits // 8, np.uint8)
-        for k, b in segments.items():
-            self.table[k * bits // 8:(k + 1) * bits // 8] = np.frombuffer(b, np.uint8)
+    """Some segments of the filter, by bucket of the name order."""
+
+    def __init__(self, segments: dict[int, bytes], buckets: int):
+        self.bits, self.base = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        at = 0
+        for k, b in sorted(segments.items()):
+            self.bits[k], self.base[k], at = 8 * len(b), at, at + 8 * len(b)
+        self.table = np.frombuffer(b"".join(b for _, b in sorted(segments.items())), np.uint8)
         self.edges = np.array([(i << 64) // buckets for i in range(buckets)], C.U64)
 
     @staticmethod
-    def segment(names: np.ndarray, level: np.ndarray, bits: int) -> bytes:
+    def segment(names: np.ndarray, level: np.ndarray) -> bytes:
+        """The filter of the names of one bucket."""
+        bits = max(64, -(-int(level.sum()) * BITS_PER_KEY // 64) * 64)
         table = np.zeros(bits, bool)
         for j in range(1, int(level.max(initial=0)) + 1):
             for i in range(HASHES):
                 table[_place(names[level >= j], j, i, bits)] = True
         return np.packbits(table, bitorder="little").tobytes()
 
+    def within(self, names: np.ndarray) -> np.ndarray:
+        """Which names belong to the segments that are here."""
+        return self.bits[np.searchsorted(self.edges, names, side="right") - 1] > 0
+
     def levels(self, names: np.ndarray) -> np.ndarray:
         """The level of each name, 0 if unknown, by repeated probes."""
-        base = (np.searchsorted(self.edges, names, side="right") - 1) * self.bits
+        bucket = np.searchsorted(self.edges, names, side="right") - 1
+        bits, base = self.bits[bucket], self.base[bucket]
         level = np.zeros(len(names), np.int64)
-        alive = np.arange(len(names))
+        alive = np.flatnonzero(bits)
         j = 1
         while len(alive):
             for i in range(HASHES):
-                at = _place(names[alive], j, i, self.bits) + base[alive]
+                at = _place(names[alive], j, i, bits[alive]) + base[alive]
                 alive = alive[(self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             level[alive] = j
             j += 1
@@ -137,30 +153,35 @@ class LogBloom:
         return quantised(self.levels(names))
 
 
-def bigram_levels(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, reply): the filter's level of each distinct bigram of a
-    block, a byte each in the order of their names."""
+def filter_segments(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, segment): the filter of all training bigrams, a segment a bucket."""
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column("block"), batch.column("batch")):
                 table = C.open_block(payload.as_py())
                 names, doc, before = _tokens(table)
                 train = ~np.asarray(table.column("held_out"))[doc]
-                u, inverse = np.unique(_pairs(before, names), return_inverse=True)
-                n = np.bincount(inverse[train], minlength=len(u))
+                u, n = np.unique(_pairs(before, names)[train], return_counts=True)
                 yield C.send(block.as_py(), u, buckets, n.astype(np.uint32))
 
-    def probe(table: pa.Table) -> pa.Table:
-        lists, names, total = _totals(table, 1)
-        trained = total[:, 0] > 0
-        level = levels(total[trained, 0])
-        bits = max(64, -(-int(level.sum()) * BITS_PER_KEY // 64) * 64)
-        segment = LogBloom({0: LogBloom.segment(names[trained], level, bits)}, 1, bits)
-        found = segment.levels(names).astype(np.uint8)
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "reply": pa.array([found[np.searchsorted(names, x)].tobytes() for x in lists], pa.binary())})
+    def build(table: pa.Table) -> pa.Table:
+        _, names, total = _totals(table, 1)
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "segment": [LogBloom.segment(names, levels(total[:, 0]))]})
+
+    return C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), build, "bucket int, segment binary"), "bigrams")
 
-    return C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), probe, C.SHARED), "bigrams")
+
+def name_ranges(segments: DataFrame, most: int) -> list[tuple[int, int]]:
+    """(first, last) buckets of the ranges that are broadcast: ``most`` bytes
+    of segments each, or one segment."""
+    sizes = sorted((r.bucket, r.size) for r in segments.select("bucket", F.length("segment").alias("size")).collect())
+    out, held = [], 0
+    for bucket, size in sizes:
+        if out and held + size <= most:
+            out[-1], held = (out[-1][0], bucket), held + size
+        else:
+            out, held = [*out, (bucket, bucket)], size
+    return out
 
 
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -171,7 +192,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     blocks = C.to_blocks(docs.select("doc_id", "text", "held_out"), "text", "lm-blocks")
     buckets = C.bucket_count(spark, blocks, 0.5)
-    bigrams = bigram_levels(blocks, buckets)
+    segments = filter_segments(blocks, buckets)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,9 +215,38 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     answers = C.keep(C.exchange(blocks.mapInArrow(ask, C.SENT), answer, C.SHARED + ", distinct long, tokens long"), "counts")
     v, n = (x or 0 for x in answers.agg(F.sum("distinct"), F.sum("tokens")).first())
 
+    asked = blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left")
+    first, parts = None, []
+    for lo, hi in name_ranges(segments, FILTER_BYTES) or [(0, buckets - 1)]:
+        held = {r.bucket: r.segment for r in segments.filter(F.col("bucket").between(lo, hi)).collect()}
+        probes = spark.sparkContext.broadcast(LogBloom({k: bytes(b) for k, b in held.items()}, buckets))
+        # Bigrams of no training text lie in no segment; the first pass scores them.
+        run = _scorer(probes, buckets, n, v, first is None, _empty(segments, buckets) if first is None else None)
+        part = C.keep(asked.select("block", "batch", "counts").mapInArrow(run, SCORED + ", block long, at int"), "scores")
+        probes.destroy()
+        first, parts = (part, parts) if first is None else (first, [*parts, part.select("block", "at", "score")])
+    if not parts:
+        return first.drop("block", "at")
+    rest = reduce(DataFrame.union, parts).groupBy("block", "at").agg(F.sum("score").alias("more"))
+    return first.join(rest, ["block", "at"], "left").select(
+        *[F.col(f.split()[0]) for f in SCORED.split(", ")[:-1]], (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+
+
+def _empty(segments: DataFrame, buckets: int) -> np.ndarray:
+    """Which buckets have no segment, as a mask."""
+    mask = np.ones(buckets, bool)
+    mask[[r.bucket for r in segments.select("bucket").collect()]] = False
+    return mask
+
+
+def _scorer(probes, buckets: int, n: int, v: int, whole: bool, empty: np.ndarray | None):
+    """Scores blocks (block, batch, counts) by the bigrams in the broadcast
+    segments (and those in ``empty`` buckets); ``whole``: with all other columns."""
+
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom: LogBloom = probes.value
         for batch in batches:
-            for payload, replies, known in zip(batch.column("batch"), batch.column("counts"), batch.column("levels")):
+            for block, payload, replies in zip(batch.column("block"), batch.column("batch"), batch.column("counts")):
                 table = C.open_block(payload.as_py())
                 names, doc, before = _tokens(table)
                 u, inverse = np.unique(np.append(names, START), return_inverse=True)
@@ -208,20 +258,23 @@ def lm_scores(docs: DataFrame) -> DataFrame:
                 ch = np.where(before == START, starts, got[place])
                 p0 = (c + ALPHA) / (n + ALPHA * (v + 1))
                 pairs, inverse = np.unique(_pairs(before, names), return_inverse=True)
-                q = quantised(C.spread(pairs, buckets, known.as_py(), "u1").astype(np.int64))[inverse]
-                p = (q + MU * p0) / (ch + MU)
+                here = bloom.within(pairs)
+                if empty is not None:
+                    here |= empty[np.searchsorted(bloom.edges, pairs, side="right") - 1]
+                q = bloom.counts(pairs)[inverse]
+                p = np.where(here[inverse], np.minimum((q + MU * p0) / (ch + MU), 1.0), 1.0)
                 m = table.num_rows
                 total = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m))
-                whole = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m).astype(np.int64))
+                count = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m).astype(np.int64))
+                none = pa.nulls(m, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [table.column("doc_id").combine_chunks().cast(pa.int64()), table.column("held_out").combine_chunks(),
-                     whole(np.ones(len(doc))), whole(c > 0), pa.array(np.full(m, n), pa.int64()),
-                     total(np.log10(p0)), total(np.log10(np.minimum(p, 1.0)))],
-                    names=[f.split()[0] for f in SCORED.split(", ")])
+                     *((count(np.ones(len(doc))), count(c > 0), pa.array(np.full(m, n), pa.int64()), total(np.log10(p0)))
+                       if whole else (none, none, none, pa.nulls(m, pa.float64()))), total(np.log10(p)),
+                     pa.array(np.full(m, block.as_py()), pa.int64()), pa.array(np.arange(m, dtype=np.int32))],
+                    names=[f.split()[0] for f in (SCORED + ", block long, at int").split(", ")])
 
-    words = C.per_block(answers.select("block", "bucket", "reply"), "counts")
-    return (blocks.join(words, "block", "left").join(C.per_block(bigrams, "levels"), "block", "left")
-            .select("batch", "counts", "levels").mapInArrow(score, SCORED))
+    return score
 
 
 def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,9 +296,8 @@ def test_filter_counts_never_exceed_and_edges(spark, edge):
     names = np.sort(common.mix(np.arange(1, 3000, dtype=np.uint64)))
     count = np.random.default_rng(1).integers(2, 5000, len(names))
     level = bloom_lm.levels(count)
-    e, bits = common.bucket_edges(names, 4), -(-int(level.sum()) * 12 // 4 // 64) * 64
-    bloom = bloom_lm.LogBloom({k: bloom_lm.LogBloom.segment(names[e[k]:e[k + 1]], level[e[k]:e[k + 1]], bits)
-                               for k in range(4)}, 4, bits)
+    e = common.bucket_edges(names, 4)
+    bloom = bloom_lm.LogBloom({k: bloom_lm.LogBloom.segment(names[e[k]:e[k + 1]], level[e[k]:e[k + 1]]) for k in range(4)}, 4)
     read = bloom.counts(names)
     assert (read >= np.floor(count / 2 ** 0.5) - 1).all() and np.mean(read <= count) > 0.97
     assert np.mean(bloom.counts(common.mix(np.arange(10**6, 10**6 + 3000, dtype=np.uint64))) > 0) < 0.05
@@ -306,8 +305,11 @@ def test_filter_counts_never_exceed_and_edges(spark, edge):
     assert bloom_lm.lm_scores(docs).count() == len(ROWS) and bloom_lm.lm_scores(docs.limit(0)).count() == 0
 
 
-def test_lm_uses_every_training_bigram(spark):
-    """Counts of 1 and more, each bigram a token would otherwise leave to the unigrams."""
+def test_lm_uses_every_training_bigram(spark, monkeypatch):
+    """Counts of 1 and more, each bigram a token would otherwise leave to the
+    unigrams; read from the broadcast filter, in one pass or in many."""
+    seen, build = [], bloom_lm.filter_segments
+    monkeypatch.setattr(bloom_lm, "filter_segments", lambda *a: seen.append(build(*a)) or seen[-1])
     texts = ["the cat sat", "the dog ran off", "the dog ran home", *["red fox"] * 5, *["blue owl"] * 9]
     docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)] + [(100, "the cat ran home", True)],
                                  "doc_id long, text string, held_out boolean")
@@ -318,13 +320,24 @@ def test_lm_uses_every_training_bigram(spark):
         pairs.update(zip(x, x[1:]))
     v, n = len(c) - 1, sum(c.values()) - c["<s>"]
     quant = lambda k: math.floor(2 ** (math.floor(2 * math.log2(k) + 1e-9) / 2) + 1e-6) if k else 0
-    got = {r.doc_id: r.score for r in bloom_lm.lm_scores(docs).collect()}
+    want = {}
     for d, t in [*enumerate(texts), (100, "the cat ran home")]:
-        x, want = ["<s>", *t.split(), 0], 0.0
+        x, want[d] = ["<s>", *t.split(), 0], 0.0
         for h, w in zip(x, x[1:]):
             p0 = (c[w] + bloom_lm.ALPHA) / (n + bloom_lm.ALPHA * (v + 1))
-            want += math.log10((quant(pairs[h, w]) + bloom_lm.MU * p0) / (c[h] + bloom_lm.MU))
-        assert got[d] == pytest.approx(want, rel=1e-9)
+            want[d] += math.log10((quant(pairs[h, w]) + bloom_lm.MU * p0) / (c[h] + bloom_lm.MU))
+    made = []
+    for most in (bloom_lm.FILTER_BYTES, 1):  # the whole filter at once, and one segment after the other
+        monkeypatch.setattr(bloom_lm, "FILTER_BYTES", most)
+        got = {r.doc_id: r for r in bloom_lm.lm_scores(docs).collect()}
+        assert {d: r.score for d, r in got.items()} == pytest.approx(want, rel=1e-9)
+        assert all(r.n_tokens == len(t.split()) + 1 for r, t in zip(map(got.get, range(len(texts))), texts))
+        made.append(len(bloom_lm.name_ranges(seen[-1], most)))
+    assert made[0] == 1 < made[1]
+    # nothing but the filter tells counts: without its bits every bigram is unknown
+    monkeypatch.setattr(bloom_lm, "filter_segments", lambda *a: build(*a).withColumn("segment", F.lit(bytearray(8))))
+    blind = {r.doc_id: r.score for r in bloom_lm.lm_scores(docs).collect()}
+    assert all(blind[d] < want[d] for d in range(len(texts)))
 
 
 # ------------------------------------------------------------------ op4, op6
