@@ -554,3 +554,50 @@ def test_pipeline_stages(spark):
         n, before = docs.count(), n
         assert 0 < n <= before or name == "systematic_mix"
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == n
+
+
+# ------------------------------------------------------------------ registered queries
+
+@here
+def test_op10_digests_equal_the_library(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(bpe.vocabulary())
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = tok.encode(r.text or "", add_special_tokens=False).ids
+        want[r.doc_id] = (len(ids), sha(" ".join(map(str, ids))), sha(tok.decode(ids, skip_special_tokens=False)))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op10_bpe_tree(spark, SF).collect()}
+    assert got == want
+
+
+@here
+def test_op5_classes_on_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in order_minhash.op5_order_minhash(spark, SF).collect()}
+    want = shingle_classes(rows)  # by sets: order does not count there, so its classes can only be larger
+    assert len(got) == len(rows) and all(want[i] == want[r.class_id] for i, r in got.items())
+    assert np.mean([got[i].class_id == c for i, c in want.items()]) > 0.99
+    assert sum(r.kept for r in got.values()) == len({r.class_id for r in got.values()})
+
+
+@here
+def test_op7_takes_words_near_the_targets(spark):
+    got = mixing.op7_systematic_mix(spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().set_index("doc_id")
+    assert len(got) == len(docs) and (got.taken <= 2 * got["size"]).all()
+    got["source"] = got.doc_id.map(docs.source)
+    assert (got["size"] == got.doc_id.map(docs.text.map(lambda t: len(WORD.findall(t or ""))))).all()
+    for _, part in got.groupby("source", dropna=False):
+        assert part["size"].sum() == part.source_size.iloc[0] and part.target.nunique() == 1
+        assert abs(part.taken.sum() - part.target.iloc[0]) <= 2 * part["size"].max()
+
+
+@here
+def test_op9_scores_held_out_documents(spark):
+    sf = SF.replace("0.001", "0.01")
+    got = toxicity.op9_zstd_distance(spark, sf).collect()
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in got if r.held_out and toxic.get(r.doc_id) is not None]) > 0.85
