@@ -1,24 +1,24 @@
 """Suffix-array dedup: remove every byte covered by a string of ``length``
 bytes that starts anywhere else, in another text or in the same one.
 
-Difference-cover blockwise construction.  With a cover D modulo v, any two
-text positions i, j have a shift d < v such that i + d and j + d are both
-cover positions.  So:
-
-1. *Cover-sample ranks.*  The cover positions (7.7 % of all for 400 bytes:
-   v = 183, |D| = 14) are named by their next ``length - v + 1`` bytes and
-   ranked blockwise, one bucket of the name order at a time.  A rank keeps
-   what the later steps need of it: whether another position ties with it.
+Difference-cover blockwise search.  With a cover D modulo v, any two text
+positions i, j have a shift d < v such that i + d and j + d are both cover
+positions.  So:
+
+1. *Cover sample.*  The cover positions (7.7 % of all for 400 bytes: v = 183,
+   |D| = 14) are named by their next ``length - v + 1`` bytes; one bucket of the
+   name order at a time, names that occur twice are found.
 2. *Long ties.*  A suffix can tie with another over ``length`` bytes only if
    a cover position less than v bytes on ties as well; every other suffix is
-   settled there and never sorted.
-3. *Suffix buckets.*  The remaining suffixes are sorted, one bucket at a
-   time, by the name of their first ``length`` bytes; neighbours with equal
-   names are repeats.
-
-Names are 64-bit fingerprints in place of the strings themselves (the task
-asks for equality over ``length`` bytes, not for the order of unequal
-suffixes), so a bucket holds 8 bytes a suffix.  Texts stay in their blocks;
+   settled there and never named.
+3. *Suffix buckets.*  The remaining suffixes are compared, one bucket at a
+   time, by the name of their first ``length`` bytes; equal names are repeats.
+
+This is not the dealt construction to the letter: the cover sample is not
+ranked and suffixes are not sorted, since equality over ``length`` bytes, all
+that removal needs, does not ask for the order of unequal suffixes.  Names are
+64-bit fingerprints in place of the strings (about N^2 / 2^65 false matches among
+N names), so a bucket holds 8 bytes a suffix.  Texts stay in their blocks;
 only names move, as sorted differences, and a bit for each comes back.
 
 Cases: null text counts as empty; a text shorter than ``length`` keeps all;
