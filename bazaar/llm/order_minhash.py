@@ -16,8 +16,8 @@ one vertex.  A bucket (texts with one sketch in common) is not paired up:
 every member is compared with the bucket's hub, the member whose sketches
 are the most common, and components are taken.  Members of one bucket that
 are still in different components are compared where they can reach 0.8 at
-all: a text of x shingles needs 0.8 x of them in other texts too.  What is
-left of a bucket is dealt into blocks of bounded size; texts outside the
+all: a text of x shingles needs 0.8 x of them in texts of other components.
+What is left of a bucket is dealt into blocks of bounded size; texts outside the
 bucket's largest component meet the others block by block, by counts of the
 shingles they share (``_open_links``), and only a link that joins two
 components leaves a task.  So loose variants of one text, which are close to
@@ -49,6 +49,7 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 12
 PIECE = 1 << 20
+BLOCK = 4 << 20  # bytes of word names (4 a word) in a block of open members
 _RNG = np.random.default_rng(C.SEED + 5)
 FUNCTIONS = _RNG.integers(1, 2**62, SKETCHES).astype(C.U64) * C.U64(2) + C.U64(1)
 STEP = _RNG.integers(1, 2**62, K).astype(C.U64) * C.U64(2) + C.U64(1)
@@ -206,19 +207,22 @@ def _fits(n: str, m: str):
     return F.least(n, m) - (K - 1) >= SIMILARITY * (F.greatest(n, m) - (K - 1)) - 1e-9
 
 
-def _own_shingles(words: DataFrame) -> DataFrame:
-    """(row, own): how many labelled shingles of a text no other of the texts has."""
+def _shared_shingles(texts: DataFrame) -> DataFrame:
+    """(row, shared): how many labelled shingles of a text (row, root, words)
+    are also in texts of other components."""
 
     def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in C._pieces(whole, "words", PIECE):
-                rows = np.asarray(batch.column("row"))
+                rows, roots = (np.asarray(batch.column(c)) for c in ("row", "root"))
                 name, text = _labelled_texts(batch.column("words"))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(name.view(np.int64))], names=["row", "name"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(roots[text]), pa.array(name.view(np.int64))],
+                                                 names=["row", "root", "name"])
 
-    return (words.mapInArrow(names, "row long, name long").groupBy("name")
-            .agg(F.count("*").alias("texts"), F.min("row").alias("row")).filter("texts = 1")
-            .groupBy("row").agg(F.count("*").alias("own")))
+    named = texts.select("row", "root", "words").mapInArrow(names, "row long, root long, name long")
+    across = (named.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+              .filter("least < most").select("name"))
+    return named.join(across, "name").groupBy("row").agg(F.count("*").alias("shared"))
 
 
 def _labelled_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -279,13 +283,11 @@ def _block_links(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, int]]:
                 yield int(rows[0][i]), int(rows[1][j])
 
 
-def _open_links(placed: DataFrame, words: DataFrame, block: int = PIECE) -> DataFrame:
+def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between members (sketch, row, n, root) of one bucket and
     of different components, enough to join what belongs together."""
-    size = F.col("n") - (K - 1)
-    own = _own_shingles(words.join(placed.select("row").distinct(), "row", "left_semi"))
-    live = C.keep(placed.join(own, "row", "left")
-                  .filter(size - F.coalesce("own", F.lit(0)) >= F.ceil(SIMILARITY * size - 1e-6))
+    shared = _shared_shingles(words.join(placed.select("row", "root").distinct(), "row"))
+    live = C.keep(placed.join(shared, "row").filter(F.col("shared") >= F.ceil(SIMILARITY * (F.col("n") - (K - 1)) - 1e-6))
                   .select("sketch", "row", "n", "root"), "live")
     per_root = live.groupBy("sketch", "root").agg(F.sum("n").alias("size"))
     buckets = (per_root.groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"), F.sum("size").alias("size"),
