@@ -48,12 +48,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    return os.path.join(scratch_path(spark, "corpus"), f"{name}-{uuid.uuid4().hex}")
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: executors lost
     later do not cause recomputation of what led here."""
     spark = df.sparkSession
     bound_batches(spark)
-    path = os.path.join(scratch_path(spark, "corpus"), f"{name}-{uuid.uuid4().hex}")
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -16,13 +16,13 @@ one vertex.  A bucket (texts with one sketch in common) is not paired up:
 every member is compared with the bucket's hub, the member whose sketches
 are the most common, and components are taken.  Members of one bucket that
 are still in different components are compared where they can reach 0.8 at
-all: a text of x shingles needs 0.8 x of them in texts of other components.
-What is left of a bucket is dealt into blocks of bounded size; texts outside the
-bucket's largest component meet the others block by block, by counts of the
-shingles they share (``_open_links``), and only a link that joins two
-components leaves a task.  So loose variants of one text, which are close to
-each other and still no near copies, make no pairs; what they cost is the
-comparison of block with block.  No link between two classes is
+all: a text of x shingles needs 0.8 x of them in other texts too.  The loose
+ones among them, those outside the largest component of a bucket, are
+broadcast in blocks of ``BLOCK`` bytes, and the others are scanned: shared
+shingles are counted for those with a bucket in common (``_open_links``), and
+only a link that joins two components leaves a task.  So loose variants of one
+text, which are close to each other and still no near copies, make no pairs
+and no shuffle; what they cost is the scan for each block of them.  No link between two classes is
 lost.  A sketch pair of similarity 0.8 shares each of 12 sketches with
 probability 0.64: it is missed by all about 5 times in a million.
 
@@ -49,7 +49,7 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 12
 PIECE = 1 << 20
-BLOCK = 4 << 20  # bytes of word names (4 a word) in a block of open members
+BLOCK = 8 << 20  # bytes of word names (4 a word) in a block of loose texts
 _RNG = np.random.default_rng(C.SEED + 5)
 FUNCTIONS = _RNG.integers(1, 2**62, SKETCHES).astype(C.U64) * C.U64(2) + C.U64(1)
 STEP = _RNG.integers(1, 2**62, K).astype(C.U64) * C.U64(2) + C.U64(1)
@@ -207,22 +207,19 @@ def _fits(n: str, m: str):
     return F.least(n, m) - (K - 1) >= SIMILARITY * (F.greatest(n, m) - (K - 1)) - 1e-9
 
 
-def _shared_shingles(texts: DataFrame) -> DataFrame:
-    """(row, shared): how many labelled shingles of a text (row, root, words)
-    are also in texts of other components."""
+def _own_shingles(words: DataFrame) -> DataFrame:
+    """(row, own): how many labelled shingles of a text no other of the texts has."""
 
     def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in C._pieces(whole, "words", PIECE):
-                rows, roots = (np.asarray(batch.column(c)) for c in ("row", "root"))
+                rows = np.asarray(batch.column("row"))
                 name, text = _labelled_texts(batch.column("words"))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(roots[text]), pa.array(name.view(np.int64))],
-                                                 names=["row", "root", "name"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(name.view(np.int64))], names=["row", "name"])
 
-    named = texts.select("row", "root", "words").mapInArrow(names, "row long, root long, name long")
-    across = (named.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-              .filter("least < most").select("name"))
-    return named.join(across, "name").groupBy("row").agg(F.count("*").alias("shared"))
+    return (words.mapInArrow(names, "row long, name long").groupBy("name")
+            .agg(F.count("*").alias("texts"), F.min("row").alias("row")).filter("texts = 1")
+            .groupBy("row").agg(F.count("*").alias("own")))
 
 
 def _labelled_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -234,82 +231,102 @@ def _labelled_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return labelled(name, text), text
 
 
-def _block_links(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, int]]:
-    """Links (row, row) between texts of ``left`` and ``right`` (row, root, main,
-    words) of different roots, no more than join the roots.  A pair whose right
-    text is outside the main component as well is left to the block in which
-    its lesser row stands on the left."""
-    rows, roots, words = [], [], []
-    for t in (left, right):
-        rows.append(np.asarray(t.column("row"), np.int64))
-        roots.append(np.asarray(t.column("root"), np.int64))
-        words.append(t.column("words").combine_chunks())
-    main = np.asarray(right.column("main"), np.int64)
-    name, text = _labelled_texts(pa.concat_arrays(words))
-    many = len(rows[0])
-    order = np.unique(name, return_inverse=True)[1]
-    size = np.bincount(text, minlength=many + len(rows[1]))
-    first = np.concatenate([[0], np.cumsum(size)])
-    right_names, right_text = order[first[many]:], text[first[many]:] - many
-    parent = {r: r for r in {*roots[0].tolist(), *roots[1].tolist()}}
-
-    def top(r):
+def _sequence(words: bytes) -> np.ndarray:
+    w = C.mix(np.frombuffer(words, np.uint32).astype(C.U64))
+    return shingles(w, np.zeros(len(w), np.int64))[0]
+
+
+class _Loose:
+    """A block of loose texts: which have a bucket, and which a shingle."""
+
+    def __init__(self, rows: list):
+        self.row, self.root = (np.array([r[k] for r in rows], np.int64) for k in ("row", "root"))
+        self.words = [bytes(r["words"]) for r in rows]
+        name, text = _labelled_texts(pa.array(self.words, pa.binary()))
+        self.size = np.bincount(text, minlength=len(rows))
+        order = np.argsort(name, kind="stable")
+        self.text, name = text[order], name[order]
+        first = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
+        self.names, self.first = name[first], np.append(first, len(name))
+        buckets: dict[int, list[int]] = {}
+        for i, r in enumerate(rows):
+            for k in r["sketches"]:
+                buckets.setdefault(k, []).append(i)
+        self.buckets = {k: np.array(v) for k, v in buckets.items()}
+
+    def near(self, names: np.ndarray, sketches: list[int]) -> np.ndarray:
+        """Places of the loose texts of the same buckets that share enough of the labelled shingles ``names``."""
+        here = [self.buckets[k] for k in sketches if k in self.buckets]
+        if not here or not len(self.names):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        at = at[self.names[at] == names]
+        both = np.bincount(np.concatenate([self.text[self.first[k]:self.first[k + 1]] for k in at] or [np.zeros(0, np.int64)]),
+                           minlength=len(self.row))
+        total = self.size + len(names)
+        here = np.unique(np.concatenate(here))
+        return here[both[here] >= np.ceil(SIMILARITY * total[here] / (1 + SIMILARITY) - 1e-9)]
+
+
+def _links_to(loose: _Loose, batch: pa.RecordBatch, parent: dict[int, int]) -> Iterator[tuple[int, int]]:
+    """Links between the loose texts and those of ``batch`` (row, root, loose,
+    words, sketches), as long as they join two roots (``parent``)."""
+
+    def top(r: int) -> int:
+        parent.setdefault(r, r)
         while parent[r] != r:
             parent[r] = parent[parent[r]]
             r = parent[r]
         return r
 
-    here = np.zeros(len(order) + 1, bool)
-    sequences = {}
-
-    def sequence(side, i):
-        if (side, i) not in sequences:
-            w = C.mix(np.frombuffer(words[side][i].as_py(), np.uint32).astype(C.U64))
-            sequences[side, i] = shingles(w, np.zeros(len(w), np.int64))[0]
-        return sequences[side, i]
-
-    for i in range(many):
-        mine = order[first[i]:first[i + 1]]
-        here[mine] = True
-        both = np.bincount(right_text[here[right_names]], minlength=len(rows[1]))
-        here[mine] = False
-        total = size[i] + size[many:]
-        fits = ((both >= np.ceil(SIMILARITY * total / (1 + SIMILARITY) - 1e-9)) & (roots[1] != roots[0][i])
-                & ((roots[1] == main) | (rows[0][i] < rows[1])))
-        for j in np.flatnonzero(fits).tolist():
-            a, b = top(int(roots[0][i])), top(int(roots[1][j]))
-            if a != b and similar(sequence(0, i), sequence(1, j)):
-                parent[a] = b
-                yield int(rows[0][i]), int(rows[1][j])
+    name, text = _labelled_texts(batch.column("words"))
+    ends = np.append(0, np.cumsum(np.bincount(text, minlength=len(batch))))
+    columns = (batch.column(c).to_pylist() for c in ("row", "root", "loose", "words", "sketches"))
+    for j, (row, root, open_, words, sketches) in enumerate(zip(*columns)):
+        mine = None
+        for i in loose.near(name[ends[j]:ends[j + 1]], sketches).tolist():
+            other, its = int(loose.row[i]), int(loose.root[i])
+            # two loose texts meet from either side: once is enough
+            if its == root or open_ and other >= row or top(its) == top(root):
+                continue
+            mine = _sequence(words) if mine is None else mine
+            if similar(_sequence(loose.words[i]), mine):
+                parent[top(its)] = top(root)
+                yield other, row
 
 
 def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between members (sketch, row, n, root) of one bucket and
     of different components, enough to join what belongs together."""
-    shared = _shared_shingles(words.join(placed.select("row", "root").distinct(), "row"))
-    live = C.keep(placed.join(shared, "row").filter(F.col("shared") >= F.ceil(SIMILARITY * (F.col("n") - (K - 1)) - 1e-6))
+    spark, size = placed.sparkSession, F.col("n") - (K - 1)
+    own = _own_shingles(words.join(placed.select("row").distinct(), "row", "left_semi"))
+    live = C.keep(placed.join(own, "row", "left")
+                  .filter(size - F.coalesce("own", F.lit(0)) >= F.ceil(SIMILARITY * size - 1e-6))
                   .select("sketch", "row", "n", "root"), "live")
-    per_root = live.groupBy("sketch", "root").agg(F.sum("n").alias("size"))
-    buckets = (per_root.groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"), F.sum("size").alias("size"),
-                                              F.count("*").alias("roots")).filter("roots > 1")
-               .select("sketch", F.col("top.root").alias("main"),
-                       F.ceil(4 * F.col("size") / block).cast("int").alias("rights"),
-                       F.ceil(4 * (F.col("size") - F.col("top.size")) / block).cast("int").alias("lefts")))
-    dealt = live.join(buckets, "sketch").join(words, "row")
-
-    def to(own_blocks, other_blocks, own_name, other_name):
-        return dealt.withColumns({own_name: F.pmod(F.xxhash64("row"), F.col(own_blocks)).cast("int"),
-                                  other_name: F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1))}).select(
-                                      *[F.col(c).alias(c) for c in ("sketch", "l", "r", "row", "root", "main", "words")])
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = list(_block_links(left, right)) if len(left) and len(right) else []
-        C.release()
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    left = to("lefts", "rights", "l", "r").filter("root != main")
-    right = to("rights", "lefts", "r", "l")
-    return left.groupBy("sketch", "l", "r").cogroup(right.groupBy("sketch", "l", "r")).applyInArrow(compare, "a long, b long")
+    mains = (live.groupBy("sketch", "root").agg(F.sum("n").alias("size"))
+             .groupBy("sketch").agg(F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("roots"))
+             .filter("roots > 1").select("sketch", F.col("top.root").alias("main")))
+    # A row has a sketch for each of SKETCHES functions at most.
+    rows = C.keep(live.join(mains, "sketch").groupBy("row", "n", "root")
+                  .agg(F.collect_list("sketch").alias("sketches"), F.max(F.col("root") != F.col("main")).alias("loose")), "rows")
+    texts = words.join(rows, "row").select("row", "root", "loose", "words", "sketches")
+    total = rows.filter("loose").agg(F.sum(F.col("n") * 4)).first()[0] or 0
+    path = C.scratch(spark, "open-links")
+    blocks = max(1, -(-total // block))
+    for k in range(blocks):
+        part = texts.filter(F.col("loose") & (F.pmod(F.xxhash64("row"), F.lit(blocks)) == k)).collect()  # about ``block`` bytes
+        held = spark.sparkContext.broadcast(_Loose(part))
+
+        def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parent: dict[int, int] = {}
+            for whole in batches:
+                for batch in C._pieces(whole, "words", PIECE):
+                    found = list(_links_to(held.value, batch, parent))
+                    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        texts.mapInArrow(scan, "a long, b long").write.mode("append").parquet(path)
+        held.destroy()
+    return spark.read.schema("a long, b long").parquet(path)
 
 
 def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
