@@ -215,14 +215,16 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     answers = C.keep(C.exchange(blocks.mapInArrow(ask, C.SENT), answer, C.SHARED + ", distinct long, tokens long"), "counts")
     v, n = (x or 0 for x in answers.agg(F.sum("distinct"), F.sum("tokens")).first())
 
-    asked = blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left")
+    # Written once, so that a pass is a scan without a shuffle.
+    asked = C.keep(blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left")
+                   .select("block", "batch", "counts"), "lm-asked")
     first, parts = None, []
     for lo, hi in name_ranges(segments, FILTER_BYTES) or [(0, buckets - 1)]:
         held = {r.bucket: r.segment for r in segments.filter(F.col("bucket").between(lo, hi)).collect()}
         probes = spark.sparkContext.broadcast(LogBloom({k: bytes(b) for k, b in held.items()}, buckets))
         # Bigrams of no training text lie in no segment; the first pass scores them.
         run = _scorer(probes, buckets, n, v, first is None, _empty(segments, buckets) if first is None else None)
-        part = C.keep(asked.select("block", "batch", "counts").mapInArrow(run, SCORED + ", block long, at int"), "scores")
+        part = C.keep(asked.mapInArrow(run, SCORED + ", block long, at int"), "scores")
         probes.destroy()
         first, parts = (part, parts) if first is None else (first, [*parts, part.select("block", "at", "score")])
     if not parts:
