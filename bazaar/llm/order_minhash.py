@@ -341,12 +341,13 @@ def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
     sampled = groups.select(F.col("first").alias("row"), "n", F.explode(F.array_distinct("sketch")).alias("sketch"))
     sizes = sampled.groupBy("sketch").agg(F.count("*").alias("members")).filter("members > 1")
     members = C.keep(sampled.join(sizes, "sketch"), "members")
-    typical = members.groupBy("row").agg(F.sum("members").alias("common"))
+    # Small tables are written, so that Spark knows their size and broadcasts them where they meet texts.
+    typical = C.keep(members.groupBy("row").agg(F.sum("members").alias("common")), "typical")
     hubs = (members.join(typical, "row").groupBy("sketch").agg(F.max(F.struct("common", -F.col("row"), "n")).alias("hub"))
             .select("sketch", (-F.col("hub.col2")).alias("hub"), F.col("hub.n").alias("hub_n")))
-    tested = (members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
-              .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct())
-    needed = members.select(F.col("row").alias(row)).distinct()
+    tested = C.keep(members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
+                    .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(), "pairs")
+    needed = typical.select(F.col("row").alias(row))
     words = C.keep(_word_table(df.join(needed, row, "left_semi"), row, column), "words")
     links = C.keep(_verified(tested, words), "links")
     # Buckets whose members the links so far leave in different components.
