@@ -99,3 +99,30 @@ def test_cast_layer_try_cast_and_passthrough(spark):
     r = out.first()
     assert out.columns == ["a", "b", "c", "d"]
     assert (r["a"], r["b"], r["c"], r["d"]) == (12, None, Decimal("1.500000"), "keep")
+
+
+def test_json_pick_equals_the_whole_parse(spark):
+    docs = [None, "", "null", "not json", "{}", '{"k":1}', ' {"k":1}', '{"k":1,"k":2}', '{"k":null,"k":3}', '{"k":6,"\\u006b":5}',
+            '[{"k":1}]', '{"k":{"k":1}}', '{"a":{"k":1}}', '{"k":[1,{"x":2}],"s":true}', '{"k":1} tail', '{"k":1,"s":',
+            '{"s":"k","k":7}', '{k:1}', '{"k":NaN}', '{"k":1e5,"s":-0.10}', '{"K":1}', '{"k":"\u00e9","s":""}']
+    df = spark.createDataFrame([(d,) for d in docs], "d string").withColumn("m", C.json_fields("d"))
+    got = df.select(C.json_field("m", "k"), C.json_field("m", "s"), C.json_pick("d", "k", "s").alias("z")).select("*", "z.k", "z.s")
+    assert [tuple(r[:2]) for r in got.collect()] == [tuple(r[3:]) for r in got.collect()]
+    parsed = df.select(C.json_pick("d", "k", "s").alias("z"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(k,StringType" in parsed  # plain objects are read for these fields alone
+
+
+def test_round_double_equals_round_half_up(spark):
+    xs = [None, float("nan"), float("inf"), 0.0, -0.0, -0.001, 1.005, 2.675, -1.005, 0.005, 0.0049999999999999, 1e10 + 0.005,
+          123456789012.345, 1e300] + [s * k / 1000 for k in range(0, 4000, 5) for s in (1, -1)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert df.select(C.round_double("x").alias("a"), C.round_half_up("x").alias("b")).where(
+        "NOT (a <=> b) OR string(a) != string(b)").collect() == []
+
+
+def test_sum_cents_is_exact_at_the_ends_of_bigint(spark):
+    big, low = 2**63 - 1, -2**63
+    df = spark.createDataFrame([(1, big), (1, big), (1, -5), (2, low), (2, low), (3, None), (4, -1), (4, None), (4, 101)], "g int, c bigint")
+    got = df.groupBy("g").agg(C.sum_cents("c").alias("a"), F.sum(C.scale_cents("c")).alias("b"))
+    assert got.schema["a"].dataType == got.schema["b"].dataType
+    assert got.where("NOT (a <=> b)").count() == 0 and got.where("g = 1").first()["a"] == Decimal(2 * big - 5) / 100

@@ -218,3 +218,33 @@ def test_order_mart_reads_the_day_with_few_scans(spark, tmp_path):
         read = [x for x in final.split("\n") if "FileScan" in x]
         assert sum(" status#" in x.replace(",", " ") for x in read) <= scans
         assert sum("merchant_liability#" in x for x in read) == 1 and sum("expire_date#" in x for x in read) == 1
+
+
+def test_order_mart_methods_are_short_enough_to_be_compiled(spark, tmp_path):
+    """The JVM interprets methods of more than 8000 bytes for ever."""
+    import datetime as dt
+
+    from bazaar.params import OrderMartParams
+    from bazaar.plans.order_mart import order_mart
+    from .test_marts import ORDERS, SETTLEMENT, _ledger, _order
+    t = dt.datetime(2025, 11, 19)
+    frames = {"orders": ([_order(1, 10, t)], ORDERS), "settlement": ([_ledger(1, 1, "PAY", 1200, t)], SETTLEMENT),
+              "tickets": ([("1", "2025-11-20")], "order_id string, expire_date string"),
+              "items": ([("1", 5)], "order_id string, item_id bigint"),
+              "extra": ([("100", 1)], "merchant_id string, review_merchant_id bigint"),
+              "cats": ([(1, "Drinks")], "merchant_id bigint, bing_category string"),
+              "users": ([(10, "2025-11-01 00:00:00")], "user_tid bigint, first_order_order_time string")}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(old, ("-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        for name, (rows, schema) in frames.items():  # stored, since rows held by the driver are computed at planning
+            spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        mart = order_mart(*[spark.read.schema(schema).parquet(str(tmp_path / n)) for n, (_, schema) in frames.items()], OrderMartParams())
+        stages = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package").codegenStringSeq(
+            mart._jdf.queryExecution().executedPlan())
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+        assert mart.count() == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
