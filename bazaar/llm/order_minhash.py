@@ -208,14 +208,17 @@ def _fits(n: str, m: str):
 
 
 def _own_shingles(words: DataFrame) -> DataFrame:
-    """(row, own): how many labelled shingles of a text no other of the texts has."""
+    """(row, own): how many labelled shingles of a text no other of the texts has.
+
+    Names are sent in 40 bits: one that meets another's counts as shared, so
+    ``own`` may be too low but never too high."""
 
     def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in C._pieces(whole, "words", PIECE):
                 rows = np.asarray(batch.column("row"))
                 name, text = _labelled_texts(batch.column("words"))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array(name.view(np.int64))], names=["row", "name"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows[text]), pa.array((name >> C.U64(24)).view(np.int64))], names=["row", "name"])
 
     return (words.mapInArrow(names, "row long, name long").groupBy("name")
             .agg(F.count("*").alias("texts"), F.min("row").alias("row")).filter("texts = 1")
@@ -299,7 +302,8 @@ def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> Data
     """Links (a, b) between members (sketch, row, n, root) of one bucket and
     of different components, enough to join what belongs together."""
     spark, size = placed.sparkSession, F.col("n") - (K - 1)
-    own = _own_shingles(words.join(placed.select("row").distinct(), "row", "left_semi"))
+    words = C.keep(words.join(placed.select("row").distinct(), "row", "left_semi"), "open-words")
+    own = _own_shingles(words)
     live = C.keep(placed.join(own, "row", "left")
                   .filter(size - F.coalesce("own", F.lit(0)) >= F.ceil(SIMILARITY * size - 1e-6))
                   .select("sketch", "row", "n", "root"), "live")
@@ -309,7 +313,8 @@ def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> Data
     # A row has a sketch for each of SKETCHES functions at most.
     rows = C.keep(live.join(mains, "sketch").groupBy("row", "n", "root")
                   .agg(F.collect_list("sketch").alias("sketches"), F.max(F.col("root") != F.col("main")).alias("loose")), "rows")
-    texts = words.join(rows, "row").select("row", "root", "loose", "words", "sketches")
+    # Written, since every block reads them twice: a join here would shuffle them as often.
+    texts = C.keep(words.join(rows, "row").select("row", "root", "loose", "words", "sketches"), "open-texts")
     total = rows.filter("loose").agg(F.sum(F.col("n") * 4)).first()[0] or 0
     path = C.scratch(spark, "open-links")
     blocks = max(1, -(-total // block))

@@ -190,6 +190,29 @@ def test_order_minhash_on_a_hot_group_of_loose_variants(spark, monkeypatch):
     assert len(set(got.values())) > 60
 
 
+def test_open_texts_are_joined_once_whatever_the_number_of_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(24):
+        t = list(base if i % 2 else base[::-1])
+        t[rng.randrange(200)] = f"x{i}"
+        texts.append((i, " ".join(t)))
+    df = spark.createDataFrame(texts, "row long, text string")
+    words = order_minhash._word_table(df, "row", "text")
+    placed = df.select(F.lit(1).cast("long").alias("sketch"), "row", F.lit(200).cast("long").alias("n"), F.col("row").alias("root"))
+    kept, keep = [], common.keep
+    monkeypatch.setattr(common, "keep", lambda df, name: kept.append(name) or keep(df, name))
+    for block in (1 << 20, 900):  # one text in a block, and all
+        kept.clear()
+        parent = list(range(24))
+        for a, b in order_minhash._open_links(placed, words, block).collect():
+            x, y = parent[a], parent[b]
+            parent = [x if p == y else p for p in parent]
+        assert kept.count("open-texts") == 1 and kept.count("open-words") == 1
+        assert all((parent[i] == parent[j]) == (i % 2 == j % 2) for i in range(24) for j in range(24))
+
+
 def test_row_numbers_survive_another_parallelism(spark, tmp_path):
     """Executors come and go between stages: rows, and so results, stay the same."""
     rng = random.Random(12)
