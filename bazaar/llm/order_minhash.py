@@ -302,7 +302,7 @@ def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> Data
     """Links (a, b) between members (sketch, row, n, root) of one bucket and
     of different components, enough to join what belongs together."""
     spark, size = placed.sparkSession, F.col("n") - (K - 1)
-    words = C.keep(words.join(placed.select("row").distinct(), "row", "left_semi"), "open-words")
+    words = C.keep(C.picked(words, "row", placed), "open-words")
     own = _own_shingles(words)
     live = C.keep(placed.join(own, "row", "left")
                   .filter(size - F.coalesce("own", F.lit(0)) >= F.ceil(SIMILARITY * size - 1e-6))
@@ -314,7 +314,7 @@ def _open_links(placed: DataFrame, words: DataFrame, block: int = BLOCK) -> Data
     rows = C.keep(live.join(mains, "sketch").groupBy("row", "n", "root")
                   .agg(F.collect_list("sketch").alias("sketches"), F.max(F.col("root") != F.col("main")).alias("loose")), "rows")
     # Written, since every block reads them twice: a join here would shuffle them as often.
-    texts = C.keep(words.join(rows, "row").select("row", "root", "loose", "words", "sketches"), "open-texts")
+    texts = C.keep(C.picked(words, "row", rows).join(rows, "row").select("row", "root", "loose", "words", "sketches"), "open-texts")
     total = rows.filter("loose").agg(F.sum(F.col("n") * 4)).first()[0] or 0
     path = C.scratch(spark, "open-links")
     blocks = max(1, -(-total // block))
@@ -352,8 +352,7 @@ def classes(df: DataFrame, row: str, column: str = "text") -> DataFrame:
             .select("sketch", (-F.col("hub.col2")).alias("hub"), F.col("hub.n").alias("hub_n")))
     tested = C.keep(members.join(hubs, "sketch").filter("row != hub").filter(_fits("n", "hub_n"))
                     .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(), "pairs")
-    needed = typical.select(F.col("row").alias(row))
-    words = C.keep(_word_table(df.join(needed, row, "left_semi"), row, column), "words")
+    words = C.keep(_word_table(C.picked(df, row, typical), row, column), "words")
     links = C.keep(_verified(tested, words), "links")
     # Buckets whose members the links so far leave in different components.
     part = C.keep(components(links), "parts")
@@ -392,8 +391,8 @@ def near_dedup(df: DataFrame, id_column: str = "doc_id", column: str = "text") -
     row = C.free_name(df, "near_row")
     keyed = C.numbered(df, row)
     narrow = keyed.select(F.col(row).alias("row"), F.col(id_column).alias("id"), F.col(column).alias("text"))
-    dropped = _named(narrow, "id").filter("not kept").select(F.col("row").alias(row))
-    return keyed.join(dropped, row, "left_anti").drop(row)
+    dropped = _named(narrow, "id").filter("not kept").select("row")
+    return C.picked(keyed, row, dropped, inside=False).drop(row)
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,6 +213,49 @@ def test_open_texts_are_joined_once_whatever_the_number_of_blocks(spark, monkeyp
         assert all((parent[i] == parent[j]) == (i % 2 == j % 2) for i in range(24) for j in range(24))
 
 
+def test_picked_rows_by_bits(spark, monkeypatch):
+    rng = random.Random(6)
+    numbers = sorted({rng.randrange(-300, 300) for _ in range(200)} | {(k << 33) + i for k in range(3) for i in range(70)} | {-2**63, 2**63 - 1})
+    chosen = rng.sample(numbers, 90) + [63, 64, 7, 7]
+    df = spark.createDataFrame([(i, f"t{i}", 1, 2) for i in numbers], "no long, `a.b` string, at int, Bits int")
+    rows = spark.createDataFrame([(i,) for i in chosen * 2], "row long")
+    for longs in (common.PICKED, 0):
+        monkeypatch.setattr(common, "PICKED", longs)
+        for inside in (True, False):
+            got = common.picked(df, "no", rows, inside)
+            assert got.columns == df.columns
+            assert sorted(r.no for r in got.collect()) == [i for i in numbers if (i in chosen) == inside]
+        assert common.picked(df, "no", rows.limit(0)).count() == 0
+        assert common.picked(df, "no", rows.limit(0), inside=False).count() == len(numbers)
+
+
+def test_texts_do_not_move_to_be_picked(spark, monkeypatch):
+    """However small the engine's own broadcasts are, no text is shuffled to
+    find those that another one's sketch meets."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(200), 1 + i % 9):
+            w[at] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(r.doc_id for r in order_minhash.near_dedup(df).collect())
+    plans, keep = defaultdict(list), common.keep
+    monkeypatch.setattr(common, "keep", lambda d, name: plans[name].append(
+        d._jdf.queryExecution().executedPlan().toString()) or keep(d, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = order_minhash.near_dedup(df)
+        plans["out"].append(out._jdf.queryExecution().executedPlan().toString())
+        assert sorted(r.doc_id for r in out.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("words", "open-words", "out"):
+        assert len(plans[name]) == 1 and "BroadcastHashJoin" in plans[name][0] and "Exchange hashpartitioning" not in plans[name][0]
+
+
 def test_row_numbers_survive_another_parallelism(spark, tmp_path):
     """Executors come and go between stages: rows, and so results, stay the same."""
     rng = random.Random(12)
