@@ -8,8 +8,8 @@ bigram is stored, also those seen once: the filter has ``BITS_PER_KEY`` bits a
 key and no largest size.  It is made and written in segments, one for each
 bucket of the name order.  The workers get it by broadcast: whole where it
 fits ``FILTER_BYTES``, else one range of names after the other, each of that
-size at most; a pass scores the tokens whose bigrams lie in its range, and the
-passes' log probabilities add up.
+size at most; a pass probes the bigrams that lie in its range, and the levels
+it reads go back to the blocks that hold them, where the texts are scored.
 
     P(w | h) = (q(h w) + MU * P0(w)) / (c(h) + MU)
     P0(w)    = (c(w) + 0.1) / (N + 0.1 (V + 1))
@@ -17,12 +17,14 @@ passes' log probabilities add up.
 q: count read from the filter, c: exact counts.  As q never exceeds the count,
 the sum over w is 1 at most but for false positives of the filter.
 
-Scale: documents are packed into blocks; a block tells the buckets once of
-each distinct word and bigram it holds (and asks for c of the words), so no
-word, however frequent, costs a bucket more than one entry a block.  Bigrams
-are not asked for: workers probe the filter.  The number of passes grows with
-the filter, by one for each ``FILTER_BYTES`` (some 45 million keys), so far
-beyond that a larger bound, as workers' memory allows, saves passes.
+Scale: documents are packed into blocks of ``BLOCK_BYTES``; a block tells the
+buckets once of each distinct word and bigram it holds, so no word, however
+frequent, costs a bucket more than one entry a block.  A bucket stores its
+distinct bigrams beside its segment, in folders of ``FOLDER`` buckets.  The
+number of passes grows with the filter, by one for each ``FILTER_BYTES`` (some
+45 million keys), but a pass reads the bigrams of its own range alone: all
+passes together probe every distinct bigram once, and the texts are scored
+once, however many passes there are.
 
 Cases: a null or empty text is one end token; documents with a null id count
 as training documents; repeated rows count as often as they occur; an empty
@@ -32,7 +34,6 @@ table gives an empty one; without training documents every c is 0.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ from . import common as C
 BITS_PER_KEY = 12
 HASHES = 4
 FILTER_BYTES = 64 << 20
+BLOCK_BYTES = 4 << 20
+FOLDER = 64  # buckets whose bigrams are stored in one folder
 STEP = 2 ** 0.5
 MU = 4.0
 ALPHA = 0.1
@@ -74,6 +77,38 @@ def _pairs(before: np.ndarray, names: np.ndarray) -> np.ndarray:
     return C.mix(before * C.U64(0xC2B2AE3D27D4EB4F) + names)
 
 
+def _parts(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+    """A block's rows in pieces, each with its ``_tokens``."""
+    for piece in C._pieces(table, "text", C.BLOCK_BYTES):
+        yield piece, *_tokens(piece)
+
+
+def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names ascending, and how often each occurs."""
+    s = np.sort(names)
+    first = np.flatnonzero(np.append(True, s[1:] != s[:-1])[:len(s)])
+    return s[first], np.diff(np.append(first, len(s)))
+
+
+def _inverse(names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names ascending, and the place among them of each name."""
+    every = np.concatenate(names)
+    order = np.argsort(every)
+    s = every[order]
+    new = np.append(True, s[1:] != s[:-1])[:len(s)]
+    place = np.empty(len(s), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return s[new], place
+
+
+def _training(names: list[np.ndarray], train: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names ascending, and how often each occurs in training documents."""
+    every, count = _runs(np.concatenate(names))
+    held, n = _runs(np.concatenate([x[~t] for x, t in zip(names, train)]))
+    count[np.searchsorted(every, held)] -= n
+    return every, count.astype(np.uint32)
+
+
 def _planes(x: np.ndarray) -> bytes:
     return x.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
 
@@ -82,15 +117,28 @@ def _unplanes(b: bytes) -> np.ndarray:
     return np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
 
 
-def _totals(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The names each block sent, the distinct ones ascending, and their summed ``extra`` columns."""
+def _stored(x: np.ndarray) -> bytes:
+    """64-bit numbers, mostly ascending, compressed, behind how many they are."""
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(C.pack_sorted(x.view(C.U64)), asbytes=True)
+
+
+def _restored(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    return C.unpack_sorted(pa.Codec("zstd", 1).decompress(b[8:], 8 * n, asbytes=True))
+
+
+def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of names of each block, the distinct names ascending, their
+    summed counts, place among these of each name in the order of the blocks)."""
     lists = [C.unpack_sorted(x.as_py()) for x in table.column("names")]
-    extra = np.concatenate([np.frombuffer(x.as_py(), np.uint32).reshape(-1, width) for x in table.column("extra")])
+    count = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("extra")])
     names = np.concatenate(lists)
     order = np.argsort(names, kind="stable")
     s = names[order]
-    first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-    return lists, s[first], np.add.reduceat(extra[order].astype(np.int64), first, axis=0)
+    new = np.append(True, s[1:] != s[:-1])
+    first, place = np.flatnonzero(new), np.empty(len(s), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return np.array([len(x) for x in lists]), s[first], np.add.reduceat(count[order].astype(np.int64), first), place
 
 
 def levels(count: np.ndarray) -> np.ndarray:
@@ -129,10 +177,6 @@ class LogBloom:
                 table[_place(names[level >= j], j, i, bits)] = True
         return np.packbits(table, bitorder="little").tobytes()
 
-    def within(self, names: np.ndarray) -> np.ndarray:
-        """Which names belong to the segments that are here."""
-        return self.bits[np.searchsorted(self.edges, names, side="right") - 1] > 0
-
     def levels(self, names: np.ndarray) -> np.ndarray:
         """The level of each name, 0 if unknown, by repeated probes."""
         bucket = np.searchsorted(self.edges, names, side="right") - 1
@@ -154,21 +198,29 @@ class LogBloom:
 
 
 def filter_segments(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, segment): the filter of all training bigrams, a segment a bucket."""
+    """(bucket, segment, folder, names, blocks, sizes, places), a row a bucket:
+    the filter of all training bigrams, the distinct bigrams of all texts, and
+    for each block that holds some how many and their places among them."""
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column("block"), batch.column("batch")):
-                table = C.open_block(payload.as_py())
-                names, doc, before = _tokens(table)
-                train = ~np.asarray(table.column("held_out"))[doc]
-                u, n = np.unique(_pairs(before, names)[train], return_counts=True)
-                yield C.send(block.as_py(), u, buckets, n.astype(np.uint32))
+                pairs, train = [], []
+                for piece, names, doc, before in _parts(C.open_block(payload.as_py())):
+                    pairs.append(_pairs(before, names))
+                    train.append(~np.asarray(piece.column("held_out"))[doc])
+                u, n = _training(pairs, train)
+                yield C.send(block.as_py(), u, buckets, n)
 
     def build(table: pa.Table) -> pa.Table:
-        _, names, total = _totals(table, 1)
-        return pa.table({"bucket": table.column("bucket").slice(0, 1), "segment": [LogBloom.segment(names, levels(total[:, 0]))]})
+        sizes, names, total, place = _totals(table)
+        bucket, stored = table.column("bucket")[0].as_py(), total > 0
+        return pa.table({
+            "bucket": pa.array([bucket], pa.int32()), "segment": [LogBloom.segment(names[stored], levels(total[stored]))],
+            "folder": pa.array([bucket // FOLDER], pa.int32()), "names": [_stored(names)],
+            "blocks": [_stored(np.asarray(table.column("block")))], "sizes": [_stored(sizes)], "places": [_stored(place)]})
 
-    return C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), build, "bucket int, segment binary"), "bigrams")
+    return C.keep(C.exchange(blocks.mapInArrow(gather, C.SENT), build, "bucket int, segment binary, folder int, "
+                             "names binary, blocks binary, sizes binary, places binary"), "bigrams", "folder", compression="none")
 
 
 def name_ranges(segments: DataFrame, most: int) -> list[tuple[int, int]]:
@@ -184,97 +236,106 @@ def name_ranges(segments: DataFrame, most: int) -> list[tuple[int, int]]:
     return out
 
 
+def probed(segments: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, reply): for each block the levels of its ascending
+    distinct bigrams, read from the filter as it is broadcast range by range."""
+    spark = segments.sparkSession
+    path = C.scratch(spark, "levels")
+    for lo, hi in name_ranges(segments, FILTER_BYTES) or [(0, buckets - 1)]:
+        here = segments.filter(F.col("folder").between(lo // FOLDER, hi // FOLDER) & F.col("bucket").between(lo, hi))
+        probes = spark.sparkContext.broadcast(
+            LogBloom({r.bucket: bytes(r.segment) for r in here.select("bucket", "segment").collect()}, buckets))
+        here.select("bucket", "names", "blocks", "sizes", "places").mapInArrow(_prober(probes), C.SHARED).write.mode("append").parquet(path)
+        probes.destroy()
+        del probes  # else the driver holds it beside the next range
+    return spark.read.schema(C.SHARED).parquet(path)
+
+
+def _prober(probes):
+    """Probes the broadcast segments for the bigrams of their buckets."""
+
+    def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom: LogBloom = probes.value
+        for batch in batches:
+            for bucket, names, blocks, sizes, places in zip(*map(batch.column, ("bucket", "names", "blocks", "sizes", "places"))):
+                C.release()
+                level = np.minimum(bloom.levels(_restored(names.as_py())), 255).astype(np.uint8)
+                blocks, sizes, places = (_restored(x.as_py()).view(np.int64) for x in (blocks, sizes, places))
+                reply, ends = level[places], np.append(0, np.cumsum(sizes)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks), pa.array(np.full(len(blocks), bucket.as_py(), np.int32)),
+                     pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(ends), pa.py_buffer(reply)])],
+                    names=["block", "bucket", "reply"])
+
+    return probe
+
+
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, held_out): log10 probabilities of its text."""
     spark = docs.sparkSession
-    blocks = C.to_blocks(docs.select("doc_id", "text", "held_out"), "text", "lm-blocks")
-    buckets = C.bucket_count(spark, blocks, 0.5)
-    segments = filter_segments(blocks, buckets)
+    blocks = C.to_blocks(docs.select("doc_id", "text", "held_out"), "text", "lm-blocks", BLOCK_BYTES)
+    buckets, word_buckets = C.bucket_count(spark, blocks, 0.5), C.bucket_count(spark, blocks, 0.1, a_partition=1)
+    levels_read = probed(filter_segments(blocks, buckets), buckets)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column("block"), batch.column("batch")):
-                table = C.open_block(payload.as_py())
-                names, doc, before = _tokens(table)
-                train = ~np.asarray(table.column("held_out"))[doc]
-                u, inverse = np.unique(np.append(names, START), return_inverse=True)
-                count = np.bincount(inverse[:-1][train], minlength=len(u))
-                yield C.send(block.as_py(), u, buckets, count.astype(np.uint32))
+                words, train = [], []
+                for piece, names, doc, _ in _parts(C.open_block(payload.as_py())):
+                    words.append(names)
+                    train.append(~np.asarray(piece.column("held_out"))[doc])
+                u, n = _training(words, train)
+                yield C.send(block.as_py(), u, word_buckets, n)
 
     def answer(table: pa.Table) -> pa.Table:
-        lists, names, total = _totals(table, 1)
-        out = [_planes(total[np.searchsorted(names, x), 0]) for x in lists]
+        sizes, names, total, place = _totals(table)
+        out = [_planes(x) for x in np.split(total[place], np.cumsum(sizes)[:-1])]
         new = np.zeros((2, len(out)), np.int64)
-        new[:, 0] = (total[:, 0] > 0).sum(), total[:, 0].sum()
+        new[:, 0] = (total > 0).sum(), total.sum()
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(out, pa.binary()),
                          "distinct": new[0], "tokens": new[1]})
 
     answers = C.keep(C.exchange(blocks.mapInArrow(ask, C.SENT), answer, C.SHARED + ", distinct long, tokens long"), "counts")
     v, n = (x or 0 for x in answers.agg(F.sum("distinct"), F.sum("tokens")).first())
 
-    # Written once, so that a pass is a scan without a shuffle.
-    asked = C.keep(blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left")
-                   .select("block", "batch", "counts"), "lm-asked")
-    first, parts = None, []
-    for lo, hi in name_ranges(segments, FILTER_BYTES) or [(0, buckets - 1)]:
-        held = {r.bucket: r.segment for r in segments.filter(F.col("bucket").between(lo, hi)).collect()}
-        probes = spark.sparkContext.broadcast(LogBloom({k: bytes(b) for k, b in held.items()}, buckets))
-        # Bigrams of no training text lie in no segment; the first pass scores them.
-        run = _scorer(probes, buckets, n, v, first is None, _empty(segments, buckets) if first is None else None)
-        part = C.keep(asked.mapInArrow(run, SCORED + ", block long, at int"), "scores")
-        probes.destroy()
-        first, parts = (part, parts) if first is None else (first, [*parts, part.select("block", "at", "score")])
-    if not parts:
-        return first.drop("block", "at")
-    rest = reduce(DataFrame.union, parts).groupBy("block", "at").agg(F.sum("score").alias("more"))
-    return first.join(rest, ["block", "at"], "left").select(
-        *[F.col(f.split()[0]) for f in SCORED.split(", ")[:-1]], (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
-
+    asked = (blocks.join(C.per_block(answers.select("block", "bucket", "reply"), "counts"), "block", "left")
+             .join(C.per_block(levels_read, "levels"), "block", "left").select("batch", "counts", "levels"))
+    return C.keep(asked.mapInArrow(_scorer(buckets, word_buckets, n, v), SCORED), "scores")
 
-def _empty(segments: DataFrame, buckets: int) -> np.ndarray:
-    """Which buckets have no segment, as a mask."""
-    mask = np.ones(buckets, bool)
-    mask[[r.bucket for r in segments.select("bucket").collect()]] = False
-    return mask
 
-
-def _scorer(probes, buckets: int, n: int, v: int, whole: bool, empty: np.ndarray | None):
-    """Scores blocks (block, batch, counts) by the bigrams in the broadcast
-    segments (and those in ``empty`` buckets); ``whole``: with all other columns."""
+def _scorer(buckets: int, word_buckets: int, n: int, v: int):
+    """Scores blocks (batch, counts, levels): the counts of their distinct
+    words and the levels of their distinct bigrams, by bucket."""
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom: LogBloom = probes.value
         for batch in batches:
-            for block, payload, replies in zip(batch.column("block"), batch.column("batch"), batch.column("counts")):
-                table = C.open_block(payload.as_py())
-                names, doc, before = _tokens(table)
-                u, inverse = np.unique(np.append(names, START), return_inverse=True)
-                e, got = C.bucket_edges(u, buckets), np.zeros(len(u), np.int64)
+            for payload, replies, found in zip(*map(batch.column, ("batch", "counts", "levels"))):
+                parts = [(piece, doc, before == START, names, _pairs(before, names))
+                         for piece, names, doc, before in _parts(C.open_block(payload.as_py()))]
+                u, word = _inverse([x[3] for x in parts])
+                e, got = C.bucket_edges(u, word_buckets), np.zeros(len(u), np.int64)
                 for r in replies.as_py() or []:
                     got[e[r["bucket"]]:e[r["bucket"] + 1]] = _unplanes(r["reply"])
-                c, place = got[inverse[:-1]], np.searchsorted(u, before)
                 starts = got[np.searchsorted(u, END)]  # as many beginnings as ends
-                ch = np.where(before == START, starts, got[place])
-                p0 = (c + ALPHA) / (n + ALPHA * (v + 1))
-                pairs, inverse = np.unique(_pairs(before, names), return_inverse=True)
-                here = bloom.within(pairs)
-                if empty is not None:
-                    here |= empty[np.searchsorted(bloom.edges, pairs, side="right") - 1]
-                q = bloom.counts(pairs)[inverse]
-                p = np.where(here[inverse], np.minimum((q + MU * p0) / (ch + MU), 1.0), 1.0)
-                m = table.num_rows
-                total = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m))
-                count = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m).astype(np.int64))
-                none = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [table.column("doc_id").combine_chunks().cast(pa.int64()), table.column("held_out").combine_chunks(),
-                     *((count(np.ones(len(doc))), count(c > 0), pa.array(np.full(m, n), pa.int64()), total(np.log10(p0)))
-                       if whole else (none, none, none, pa.nulls(m, pa.float64()))), total(np.log10(p)),
-                     pa.array(np.full(m, block.as_py()), pa.int64()), pa.array(np.arange(m, dtype=np.int32))],
-                    names=[f.split()[0] for f in (SCORED + ", block long, at int").split(", ")])
+                pairs, pair = _inverse([x[4] for x in parts])
+                level, at = C.spread(pairs, buckets, found.as_py(), "uint8"), 0
+                parts = [x[:3] for x in parts]
+                for piece, doc, first in parts:
+                    here, m = slice(at, at := at + len(doc)), piece.num_rows
+                    c, q = got[word[here]], quantised(level[pair[here]].astype(np.int64))
+                    ch = np.where(first, starts, np.append(0, c[:-1]))
+                    p0 = (c + ALPHA) / (n + ALPHA * (v + 1))
+                    p = np.minimum((q + MU * p0) / (ch + MU), 1.0)
+                    total = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m))  # noqa: B023, E731
+                    count = lambda x: pa.array(np.bincount(doc, weights=x, minlength=m).astype(np.int64))  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("doc_id").combine_chunks().cast(pa.int64()), piece.column("held_out").combine_chunks(),
+                         count(np.ones(len(doc))), count(c > 0), pa.array(np.full(m, n), pa.int64()),
+                         total(np.log10(p0)), total(np.log10(p))],
+                        names=[f.split()[0] for f in SCORED.split(", ")])
 
     return score
 

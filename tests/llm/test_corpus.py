@@ -406,6 +406,29 @@ def test_lm_uses_every_training_bigram(spark, monkeypatch):
     assert all(blind[d] < want[d] for d in range(len(texts)))
 
 
+def test_lm_texts_are_scored_once_however_many_ranges(spark, monkeypatch):
+    """More ranges of the filter are more broadcasts, not more passes over the
+    texts; every block gets each of its bigrams' levels once."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.5, 30) % 200) for _ in range(60)] + [None, "", "new words only"]
+    docs = spark.createDataFrame([(i, t, i % 7 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    whole = {r.doc_id: r[:] for r in bloom_lm.lm_scores(docs).collect()}
+    kept, keep, seen, build = [], common.keep, [], bloom_lm.filter_segments
+    monkeypatch.setattr(common, "keep", lambda df, name, *a, **k: kept.append(name) or keep(df, name, *a, **k))
+    monkeypatch.setattr(bloom_lm, "filter_segments", lambda *a: seen.append(build(*a)) or seen[-1])
+    monkeypatch.setattr(bloom_lm, "FILTER_BYTES", 1)
+    got = {r.doc_id: r[:] for r in bloom_lm.lm_scores(docs).collect()}
+    assert len(bloom_lm.name_ranges(seen[-1], 1)) > 1 and kept.count("scores") == 1
+    assert got.keys() == whole.keys() and all(got[d] == pytest.approx(whole[d], rel=1e-12) for d in whole)
+    monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 300)  # many blocks
+    got = {r.doc_id: r[:] for r in bloom_lm.lm_scores(docs).collect()}
+    assert got.keys() == whole.keys() and all(got[d] == pytest.approx(whole[d], rel=1e-12) for d in whole)
+    replies = bloom_lm.probed(seen[-1], 4 * common.parallelism(spark))
+    assert replies.select("block").distinct().count() > 3
+    assert replies.count() == replies.select("block", "bucket").distinct().count()
+    assert replies.filter(F.length("reply") == 0).count() == 0
+
+
 # ------------------------------------------------------------------ op4, op6
 
 def embeddings(spark):
